@@ -6,6 +6,9 @@ A snapshot is one file ``<name>.xml`` or one folder ``<name>.xml`` (also
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +18,8 @@ from feedlake.sources.tables import path_exists_or_empty
 
 # What follows ``<item`` where that opens an item, and markup that may hide one.
 AFTER_ITEM_TAG = r"^(?:\s[^<>]*)?/?>"
-UP_TO_ITEM_END = r"(?s)^.*</item>"
-CLOSED_CDATA_OR_COMMENT = r"(?s)<!\[CDATA\[.*?\]\]>|<!--.*?-->"
+ITEM_END = "</item>"
+MAY_HIDE_ITEM = {"<![CDATA[": "]]>", "<!--": "-->"}
 SNAPSHOT_IN_PATH = r"/(?:record_source=)?([^/]+\.xml)(?:/[^/]+)?$"
 
 FILE_OPTIONS = {"pathGlobFilter": "*.xml", "recursiveFileLookup": "true"}
@@ -28,6 +31,12 @@ def source_of_path(path: Column) -> Column:
     return F.regexp_extract(path, SNAPSHOT_IN_PATH, 1)
 
 
+def _ends_inside(text: Column, opening: str, closing: str) -> Column:
+    """True where ``text`` may end within a section: its last opening mark is not closed."""
+    after = F.substring_index(text, opening, -1)
+    return text.contains(opening) & ~after.contains(closing)
+
+
 def list_feeds(spark: SparkSession, landing: str) -> DataFrame:
     """Every feed file below ``landing``: path, length, record_source.
 
@@ -51,9 +60,9 @@ def scan_feeds(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
     Text is cut at ``<item``, so a file of any size is read by as many tasks as it has
     splits, and one that is not UTF-8 or not XML marks its own rows (``_corrupt_record``)
-    and leaves the rest of the run alone. An ``<item`` inside CDATA or a comment would be
-    cut in the wrong place: such rows carry ``unsplittable``, and ``scan_feeds_whole``
-    reads their files exactly.
+    and leaves the rest of the run alone. An ``<item`` or ``</item>`` inside CDATA or a
+    comment would be cut in the wrong place: where that may be so, rows carry
+    ``unsplittable``, and ``scan_feeds_whole`` reads their files exactly.
     """
     chunks = (
         spark.read.options(**FILE_OPTIONS)
@@ -66,18 +75,21 @@ def scan_feeds(spark: SparkSession, paths: str | list[str]) -> DataFrame:
             F.col("value").rlike(AFTER_ITEM_TAG).alias("is_item"),
         )
     )
-    visible = F.regexp_replace("value", CLOSED_CDATA_OR_COMMENT, "")
-    cut_short = visible.contains("<![CDATA[") | visible.contains("<!--")
-    chunks = chunks.withColumn(
-        "unsplittable", F.col("value").contains("<!") & cut_short
-    ).filter(F.col("is_item") | ~F.col("is_utf8") | F.col("unsplittable"))
-    item = F.concat(F.lit("<item"), F.regexp_extract("value", UP_TO_ITEM_END, 0))
+    value = F.col("value")
+    hidden = [_ends_inside(value, *marks) for marks in MAY_HIDE_ITEM.items()]
+    two_ends = F.substring_index(value, ITEM_END, 2) != value
+    chunks = chunks.withColumn("unsplittable", reduce(or_, hidden, two_ends)).filter(
+        F.col("is_item") | ~F.col("is_utf8") | F.col("unsplittable")
+    )
+    good = F.col("is_item") & F.col("is_utf8") & ~F.col("unsplittable") & value.contains(ITEM_END)
+    item = F.concat(F.lit("<item"), F.substring_index(value, ITEM_END, 1), F.lit(ITEM_END))
     options = {**ITEM_OPTIONS, "columnNameOfCorruptRecord": CORRUPT}
-    parsed = chunks.withColumn("item", F.from_xml(item, schemas.ITEM_WITH_CORRUPT, options))
-    good = F.col("is_item") & F.col("is_utf8") & ~F.col("unsplittable")
+    parsed = chunks.withColumn("good", good).withColumn(
+        "item", F.from_xml(F.when(good, item), schemas.ITEM_WITH_CORRUPT, options)
+    )
     return parsed.select(
         *[F.col(f"item.{name}").alias(name) for name in ITEM_FIELDS],
-        F.when(good, F.col(f"item.{CORRUPT}")).otherwise(F.lit("<item")).alias(CORRUPT),
+        F.when(F.col("good"), F.col(f"item.{CORRUPT}")).otherwise(F.lit("<item")).alias(CORRUPT),
         "is_utf8",
         "unsplittable",
         "record_source",
