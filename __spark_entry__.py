@@ -50,15 +50,11 @@ def _newest() -> list[Column]:
 ROW = ["user_id", "event_id", "event_type", "value", "f"]
 
 
-def _last_file(rows: DataFrame) -> str:
-    return rows.agg(F.max("f")).first()[0]
-
-
 def _existing_and_new(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """All days but the last, and the last."""
+    """All days but the last, and the last; the cut is on ``ts``, so it reaches the scan."""
     rows = _events(spark, sf_dir)
-    last = _last_file(rows)
-    return rows.filter(F.col("f") < last), rows.filter(F.col("f") == last)
+    last_day = F.lit(rows.agg(F.to_date(F.max("ts"))).first()[0])
+    return rows.filter(F.col("ts") < last_day), rows.filter(F.col("ts") >= last_day)
 
 
 def latest_per_key(spark, sf_dir):
@@ -259,6 +255,12 @@ def _stored(spark: SparkSession, sf_dir: str) -> tables.SnapshotTable:
     return table
 
 
+def _mirror(spark: SparkSession, sf_dir: str) -> tables.SnapshotTable:
+    mirror = tables.SnapshotTable(spark, work_path(spark, "mirror"))
+    mirror.write(_stored(spark, sf_dir).read(), cluster_by=jobs.MIRROR_ORDER)
+    return mirror
+
+
 def list_pending_files(spark, sf_dir):
     landing = _landed(spark, _event_items(spark, sf_dir))
     return feeds.list_feeds(spark, landing).select("record_source").distinct()
@@ -310,9 +312,7 @@ def scan_silver_typed(spark, sf_dir):
 
 
 def scan_mirror(spark, sf_dir):
-    mirror = tables.SnapshotTable(spark, work_path(spark, "mirror"))
-    mirror.write(_silver(spark, sf_dir), cluster_by=jobs.MIRROR_ORDER)
-    return mirror.read()
+    return _mirror(spark, sf_dir).read()
 
 
 def silver_snapshot_roundtrip(spark, sf_dir):
@@ -326,9 +326,7 @@ def silver_snapshot_roundtrip(spark, sf_dir):
 
 
 def events_on_date(spark, sf_dir):
-    mirror = tables.SnapshotTable(spark, work_path(spark, "mirror"))
-    mirror.write(_silver(spark, sf_dir), cluster_by=jobs.MIRROR_ORDER)
-    rows = lookup.events_on_date(mirror.read(), CUT)
+    rows = lookup.events_on_date(_mirror(spark, sf_dir).read(), CUT)
     return rows.select("event_id", "start_date", "start_time", "title")
 
 

@@ -19,14 +19,21 @@ def newest_order(columns: list[str]) -> list[Column]:
     ]
 
 
+def best_row(columns: list[str], key: str, newest: list[Column]) -> Column:
+    """Aggregate: the other columns of the greatest row, as the struct ``row``."""
+    others = [name for name in columns if name != key]
+    return F.max_by(F.struct(*others), F.struct(*newest)).alias("row")
+
+
 def latest_per_key(df: DataFrame, key: str, newest: list[Column] | None = None) -> DataFrame:
     """The greatest row by ``newest`` for each key, as one aggregate.
 
-    Each map task sends at most one row per key, however many it holds.
+    Each map task sends at most one row per key, however many it holds. The key is not part
+    of the aggregated row, so a reader of keys alone does not pay for the rest.
     """
     newest = newest or newest_order(df.columns)
-    best = F.max_by(F.struct(*df.columns), F.struct(*newest))
-    return df.groupBy(key).agg(best.alias("row")).select("row.*")
+    best = df.groupBy(key).agg(best_row(df.columns, key, newest))
+    return best.select(key, "row.*").select(df.columns)
 
 
 def latest_per_key_window(

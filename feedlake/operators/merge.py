@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.operators.latest import newest_order
+from feedlake.operators.latest import best_row, newest_order
 from feedlake.schemas import KEY
 
 
@@ -30,9 +30,9 @@ def merge_snapshot(
     rows = union_rows(
         existing.withColumn("_new", F.lit(False)), new.withColumn("_new", F.lit(True))
     )
-    best = F.max_by(F.struct(*columns), F.struct(*newest)).alias("row")
+    best = best_row(columns, key, newest)
     merged = rows.groupBy(key).agg(best, F.bool_or("_new").alias("_new"))
-    return merged.filter("_new").select("row.*")
+    return merged.filter("_new").select(key, "row.*").select(columns)
 
 
 def present_in_all(rows: DataFrame, n_files: int, key: str, source: str) -> DataFrame:

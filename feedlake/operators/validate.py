@@ -22,4 +22,5 @@ def file_status(rows: DataFrame, bad: Column, source: str = "record_source") ->
 
 def drop_bad_files(rows: DataFrame, bad: Column, source: str = "record_source") -> DataFrame:
     """The rows of files that have no bad row."""
-    return restrict(rows, rows.filter(bad).select(source), source, "left_anti")
+    bad_files = file_status(rows, bad, source).filter(F.col("n_bad") > 0)
+    return restrict(rows, bad_files, source, "left_anti")

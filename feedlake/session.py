@@ -1,4 +1,4 @@
-"""Session helpers: the shared scratch folder and lineage cuts."""
+"""Session helpers: settings, the shared scratch folder and lineage cuts."""
 
 from __future__ import annotations
 
@@ -8,6 +8,25 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Settings for large inputs. AQE merges small shuffle partitions down to the advisory size,
+# so ``shuffle_partitions`` is an upper bound: input bytes over 200 MB is a good start.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def build_session(app: str = "feedlake", shuffle_partitions: int = 2000, **conf) -> SparkSession:
+    """A session with the settings above; master and resources come from spark-submit."""
+    builder = SparkSession.builder.appName(app).config(
+        map={**SETTINGS, "spark.sql.shuffle.partitions": str(shuffle_partitions), **conf}
+    )
+    return builder.getOrCreate()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -18,7 +37,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="feedlake-")
-    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named
 
@@ -28,7 +46,11 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/feedlake/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, which outlives the loss of an executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "cut") -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    Cuts the lineage, outlives the loss of an executor, and gives the planner true sizes.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -84,12 +84,15 @@ def scan_feeds(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     good = F.col("is_item") & F.col("is_utf8") & ~F.col("unsplittable") & value.contains(ITEM_END)
     item = F.concat(F.lit("<item"), F.substring_index(value, ITEM_END, 1), F.lit(ITEM_END))
     options = {**ITEM_OPTIONS, "columnNameOfCorruptRecord": CORRUPT}
-    parsed = chunks.withColumn("good", good).withColumn(
-        "item", F.from_xml(F.when(good, item), schemas.ITEM_WITH_CORRUPT, options)
+    fields = F.from_xml(F.when(good, item), schemas.ITEM_WITH_CORRUPT, options)
+    # A generator, so that a later filter on the fields cannot pull the parser into itself
+    # and run it once per field named.
+    parsed = chunks.select(
+        "record_source", "is_utf8", "unsplittable", good.alias("good"), F.inline(F.array(fields))
     )
     return parsed.select(
-        *[F.col(f"item.{name}").alias(name) for name in ITEM_FIELDS],
-        F.when(F.col("good"), F.col(f"item.{CORRUPT}")).otherwise(F.lit("<item")).alias(CORRUPT),
+        *ITEM_FIELDS,
+        F.when(F.col("good"), F.col(CORRUPT)).otherwise(F.lit("<item")).alias(CORRUPT),
         "is_utf8",
         "unsplittable",
         "record_source",

@@ -69,6 +69,7 @@ class SnapshotTable:
         ``cluster_by`` sorts the table by range over all its files, so that a filter on those
         columns skips files and row groups by their statistics. Ranges cut through a value
         that holds much of the table as long as a later column still tells its rows apart.
+        Finding the ranges reads ``df`` once more: let it come from a table.
         """
         version = self._latest()[0] + 1
         path = f"{self.root}/data/{version:08d}-{uuid.uuid4().hex[:8]}"
