@@ -6,9 +6,9 @@ import re
 import sys
 from html import unescape
 from html.parser import HTMLParser
+from unicodedata import normalize
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -162,22 +162,26 @@ def text_of_class(html: str | None, wanted: str) -> str:
     return parsed_text_of_class(html, wanted) if text is None else text
 
 
-def class_text(html: Column, wanted: str, nfkc: bool = False) -> Column:
-    """``text_of_class`` over Arrow batches, with NFKC on top when asked for."""
+def nfkc(text: str | None) -> str | None:
+    return text if text is None else normalize("NFKC", text)
+
+
+def class_text(html: Column, wanted: str, fold: bool = False) -> Column:
+    """``text_of_class`` over Arrow batches; ``fold`` puts NFKC on top in the same pass."""
 
     @F.arrow_udf("string")
     def extract(batch: pa.Array) -> pa.Array:
-        texts = pa.array([text_of_class(h, wanted) for h in batch.to_pylist()], pa.string())
-        return pc.utf8_normalize(texts, form="NFKC") if nfkc else texts
+        texts = (text_of_class(page, wanted) for page in batch.to_pylist())
+        return pa.array([nfkc(t) if fold else t for t in texts], pa.string())
 
     return extract(html)
 
 
 def nfkc_text(text: Column) -> Column:
-    """Unicode NFKC by the Arrow kernel; no per-row Python."""
+    """Unicode NFKC over Arrow batches. (Arrow's own kernel leaves accents decomposed.)"""
 
     @F.arrow_udf("string")
-    def normalize(batch: pa.Array) -> pa.Array:
-        return pc.utf8_normalize(batch, form="NFKC")
+    def fold(batch: pa.Array) -> pa.Array:
+        return pa.array([nfkc(t) for t in batch.to_pylist()], pa.string())
 
-    return normalize(text)
+    return fold(text)

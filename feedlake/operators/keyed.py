@@ -26,7 +26,8 @@ def restrict(
     """
     keys = materialize(keys.select(on).distinct())
     if keys.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
-        return rows.join(F.broadcast(keys), on, how)
+        return rows.join(F.broadcast(keys), on, how).select(rows.columns)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    return salted.join(keys.withColumn("_salt", salts), [on, "_salt"], how).drop("_salt")
+    spread = keys.withColumn("_salt", salts)
+    return salted.join(spread, [on, "_salt"], how).select(rows.columns)

@@ -50,7 +50,7 @@ def clean_items(items: DataFrame, load_date: str) -> DataFrame:
         "end_date": feed_date(end),
         "start_time": feed_time(start),
         "end_time": feed_time(end),
-        "event_description": class_text(F.col("description"), DESCRIPTION_CLASS, nfkc=True),
+        "event_description": class_text(F.col("description"), DESCRIPTION_CLASS, fold=True),
         "location": ascii_text(F.col("location")),
         "external_link": optional_text(F.col("link")),
         "record_source": F.col("record_source"),

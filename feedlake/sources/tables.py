@@ -101,8 +101,15 @@ def merged_schema(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
-# RFC 4180 quoting, and a mark that keeps NULL apart from "".
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "nullValue": "\\N"}
+# RFC 4180 quoting, white space kept, and a mark that tells NULL from "".
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
