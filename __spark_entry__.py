@@ -331,7 +331,7 @@ def events_on_date(spark, sf_dir):
 
 
 def adhoc_sql_by_date(spark, sf_dir):
-    tables.register(_stored(spark, sf_dir).read(), "feedlake_silver")
+    tables.publish(_stored(spark, sf_dir), "feedlake_silver")
     return spark.sql(
         """
         SELECT start_date, count(*) AS n_events, count(DISTINCT title) AS n_titles,

@@ -7,25 +7,32 @@ from pyspark.sql import functions as F
 
 from feedlake.session import materialize
 
-MAX_BROADCAST_KEYS = 100_000
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+ROW_BYTES = 32
 SALTS = 16
 
 
+def key_bytes(keys: DataFrame, on: str) -> int:
+    """Memory that a broadcast of these keys takes, text length plus overhead per row."""
+    size = F.sum(F.octet_length(F.col(on).cast("string")) + ROW_BYTES)
+    return keys.agg(F.coalesce(size, F.lit(0))).first()[0]
+
+
 def restrict(
     rows: DataFrame,
     keys: DataFrame,
     on: str,
     how: str,
-    max_broadcast_keys: int = MAX_BROADCAST_KEYS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """``rows`` with (``left_semi``) or without (``left_anti``) the distinct values of ``keys``.
 
-    The keys are counted first. Few are broadcast, so ``rows`` is not shuffled at all. Many
-    are joined by shuffle on (key, salt): the rows of one key go to ``SALTS`` tasks, and each
-    key is sent to all of them.
+    The keys are measured first. If small they are broadcast, so ``rows`` is not shuffled at
+    all. If not they are joined by shuffle on (key, salt): the rows of one key go to
+    ``SALTS`` tasks, and each key is sent to all of them.
     """
     keys = materialize(keys.select(on).distinct())
-    if keys.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
+    if key_bytes(keys, on) <= max_broadcast_bytes:
         return rows.join(F.broadcast(keys), on, how).select(rows.columns)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))

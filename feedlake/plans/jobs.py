@@ -26,10 +26,11 @@ class FeedRejected(ValueError):
 
 @dataclass
 class Lake:
-    """The tables of one deployment, all below ``root``."""
+    """The tables of one deployment, all below ``root``, and how its feeds are read."""
 
     spark: SparkSession
     root: str
+    guid_is_link: bool = False
 
     @property
     def silver(self) -> SnapshotTable:
@@ -132,7 +133,8 @@ def _folded(lake: Lake, feeds: list[Feed], load_date: str) -> DataFrame:
     late = lake.silver.read().filter(F.col("record_source") >= last)
     if late.isEmpty():
         feeds = feeds[-1:]
-    batch = clean_items(_scan(lake.spark, feeds), load_date).select(SILVER.names)
+    items = _scan(lake.spark, feeds)
+    batch = clean_items(items, load_date, lake.guid_is_link).select(SILVER.names)
     return fold_snapshots(late, batch, last, len(feeds))
 
 

@@ -39,9 +39,13 @@ def reject_reason() -> Column:
     )
 
 
-def clean_items(items: DataFrame, load_date: str) -> DataFrame:
-    """Silver columns plus ``reject_reason`` for every item, in one narrow select."""
+def clean_items(items: DataFrame, load_date: str, guid_is_link: bool = False) -> DataFrame:
+    """Silver columns plus ``reject_reason`` for every item, in one narrow select.
+
+    ``guid_is_link``: an item without a link takes its guid for one.
+    """
     start, end = F.col("start"), F.col("end")
+    link = F.coalesce("link", "guid") if guid_is_link else F.col("link")
     cleaned = {
         "event_id": id_from_guid(F.col("guid")),
         "title": strip(F.col("title")),
@@ -52,7 +56,7 @@ def clean_items(items: DataFrame, load_date: str) -> DataFrame:
         "end_time": feed_time(end),
         "event_description": class_text(F.col("description"), DESCRIPTION_CLASS, fold=True),
         "location": ascii_text(F.col("location")),
-        "external_link": optional_text(F.col("link")),
+        "external_link": optional_text(link),
         "record_source": F.col("record_source"),
         "load_date": F.lit(load_date),
     }
@@ -62,6 +66,7 @@ def clean_items(items: DataFrame, load_date: str) -> DataFrame:
     )
 
 
-def feed_to_silver(items: DataFrame, load_date: str) -> DataFrame:
+def feed_to_silver(items: DataFrame, load_date: str, guid_is_link: bool = False) -> DataFrame:
     """Silver rows of the files in which every item is good."""
-    return drop_bad_files(clean_items(items, load_date), is_bad()).select(SILVER.names)
+    cleaned = clean_items(items, load_date, guid_is_link)
+    return drop_bad_files(cleaned, is_bad()).select(SILVER.names)

@@ -92,10 +92,23 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def register(df: DataFrame, name: str) -> None:
-    """Open a table to ``spark.sql`` under ``name``; a new version replaces the old view."""
+    """Open a DataFrame to ``spark.sql`` under ``name`` in this session."""
     df.createOrReplaceTempView(name)
 
 
+def publish(table: SnapshotTable, name: str) -> None:
+    """Put the latest version in the catalog as ``name``, for every session that uses it.
+
+    A view, so that the next version replaces this one in a single step.
+    """
+    if table.path is None:
+        raise ValueError(f"{table.root} has no version yet")
+    columns = ", ".join(f"`{column}`" for column in table.schema.names)
+    table.spark.sql(
+        f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{table.path}`"
+    )
+
+
 def merged_schema(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Versions written under an older, narrower schema next to newer ones; gaps are NULL."""
     return spark.read.option("mergeSchema", "true").parquet(*paths)

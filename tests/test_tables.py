@@ -74,6 +74,17 @@ def test_only_a_missing_path_is_empty(spark, tmp_path):
         tables.path_exists_or_empty(spark, lambda: spark.table("no_such_table"), SCHEMA)
 
 
+def test_published_view_follows_the_table(spark, tmp_path):
+    table = tables.SnapshotTable(spark, str(tmp_path / "t"), SCHEMA)
+    with pytest.raises(ValueError):
+        tables.publish(table, "published")
+    for version in ([(1, "a")], [(2, "b"), (3, "c")]):
+        table.write(frame(spark, version))
+        tables.publish(table, "published")
+        assert rows_of(spark.sql("SELECT * FROM published")) == version
+    spark.sql("DROP VIEW published")
+
+
 def test_merged_schema(spark, tmp_path):
     frame(spark, [(1, "a")]).drop("v").write.parquet(str(tmp_path / "a"))
     frame(spark, [(2, "b")]).write.parquet(str(tmp_path / "b"))
