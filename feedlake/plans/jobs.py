@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from feedlake.operators.merge import fold_snapshots
 from feedlake.operators.sync import DELETE, PUT, KeyedStore, push_plan, removed_rows
 from feedlake.plans.silver import REASON, clean_items, is_bad, reject_reason
-from feedlake.schemas import KEY, LEDGER, SILVER
+from feedlake.schemas import KEY, SILVER
+from feedlake.session import materialize
 from feedlake.sources.feeds import list_feeds, pending_feeds, scan_feeds, scan_feeds_whole
 from feedlake.sources.tables import SnapshotTable, append_ledger, read_ledger
 
@@ -53,42 +54,31 @@ class Lake:
 
 
 @dataclass(frozen=True)
-class Feed:
-    """One snapshot in the landing folder and what a pass over its items found."""
-
-    record_source: str
-    paths: tuple[str, ...]
-    whole: bool = False
-    n_items: int = 0
-    n_bad: int = 0
-
-
-@dataclass
 class IngestReport:
-    processed: list[str] = field(default_factory=list)
-    rejected: list[str] = field(default_factory=list)
-    skipped: list[str] = field(default_factory=list)
+    """How many files got which status, and the version of silver they made, if any."""
+
+    processed: int = 0
+    rejected: int = 0
+    skipped: int = 0
     silver_version: int | None = None
 
 
-@dataclass
+@dataclass(frozen=True)
 class SyncReport:
     n_deleted: int
     n_put: int
     mirror_version: int
 
 
-def _feeds(pending: DataFrame) -> list[Feed]:
-    """Pending snapshots in name order. File names only; Spark lists them on the driver too."""
-    paths: dict[str, list[str]] = {}
-    for row in pending.select("record_source", "path").collect():
-        paths.setdefault(row.record_source, []).append(row.path)
-    return [Feed(name, tuple(sorted(paths[name]))) for name in sorted(paths)]
+def _scan(spark: SparkSession, pending: DataFrame, files: DataFrame) -> DataFrame:
+    """Items of the given files, by the reader that each of them needs.
 
-
-def _scan(spark: SparkSession, feeds: list[Feed]) -> DataFrame:
-    whole = [path for feed in feeds if feed.whole for path in feed.paths]
-    split = [path for feed in feeds if not feed.whole for path in feed.paths]
+    Spark's readers take path names on the driver; nothing else of a file is gathered.
+    """
+    wanted = pending.join(files.select("record_source", "whole"), "record_source")
+    rows = wanted.select("path", "whole").collect()
+    split = [row.path for row in rows if not row.whole]
+    whole = [row.path for row in rows if row.whole]
     if not whole:
         return scan_feeds(spark, split)
     if not split:
@@ -96,46 +86,41 @@ def _scan(spark: SparkSession, feeds: list[Feed]) -> DataFrame:
     return scan_feeds(spark, split).unionByName(scan_feeds_whole(spark, whole))
 
 
-def check_feeds(spark: SparkSession, feeds: list[Feed]) -> list[Feed]:
-    """Count items and bad items per file: one pass, one small row per file.
+def _checked(spark: SparkSession, pending: DataFrame, files: DataFrame) -> DataFrame:
+    items = _scan(spark, pending, files).withColumn(REASON, reject_reason())
+    counted = items.groupBy("record_source").agg(
+        F.count("*").alias("n_items"),
+        F.count_if(is_bad()).alias("n_bad"),
+        (F.bool_or("unsplittable") & F.bool_and("is_utf8")).alias("again"),
+    )
+    found = files.join(counted, "record_source", "left")
+    return materialize(found.na.fill(0, ["n_items", "n_bad"]).na.fill(False, ["again"]), "checked")
+
 
-    Files that the splitting scan cannot cut right are read again by the whole-file reader.
+def check_feeds(spark: SparkSession, pending: DataFrame) -> DataFrame:
+    """One row per pending file: ``n_items``, ``n_bad`` and whether it has to be read ``whole``.
+
+    One pass over all items. Files that the splitting scan cannot cut right are then read
+    again by the whole-file reader. Files without items are in the result too.
     """
-    checked = (
-        _scan(spark, feeds)
-        .withColumn(REASON, reject_reason())
-        .groupBy("record_source")
-        .agg(
-            F.count("*").alias("n_items"),
-            F.count_if(is_bad()).alias("n_bad"),
-            F.bool_or(F.col("unsplittable")).alias("unsplittable"),
-            F.bool_and(F.col("is_utf8")).alias("is_utf8"),
-        )
-    )
-    found = {row.record_source: row for row in checked.collect()}
-    done, again = [], []
-    for feed in feeds:
-        row = found.get(feed.record_source)
-        if row is None:
-            done.append(feed)
-        elif row.unsplittable and row.is_utf8:
-            again.append(replace(feed, whole=True))
-        else:
-            done.append(replace(feed, n_items=row.n_items, n_bad=row.n_bad))
-    if again:
-        done += check_feeds(spark, again)
-    return sorted(done, key=lambda feed: feed.record_source)
-
-
-def _folded(lake: Lake, feeds: list[Feed], load_date: str) -> DataFrame:
-    """The silver table after ``feeds``. Earlier files are read only if one can matter."""
-    last = feeds[-1].record_source
+    names = pending.select("record_source").distinct().withColumn("whole", F.lit(False))
+    checked = _checked(spark, pending, names)
+    again = checked.filter("again").select("record_source", F.lit(True).alias("whole"))
+    checked = checked.filter(~F.col("again"))
+    if not again.isEmpty():
+        checked = checked.unionByName(_checked(spark, pending, again))
+    return checked.drop("again")
+
+
+def _folded(lake: Lake, pending: DataFrame, files: DataFrame, load_date: str) -> DataFrame:
+    """The silver table after ``files``. All but the last are read only if one can matter."""
+    last, n_files = files.agg(F.max("record_source"), F.count("*")).first()
     late = lake.silver.read().filter(F.col("record_source") >= last)
     if late.isEmpty():
-        feeds = feeds[-1:]
-    items = _scan(lake.spark, feeds)
+        files, n_files = files.filter(F.col("record_source") == last), 1
+    items = _scan(lake.spark, pending, files)
     batch = clean_items(items, load_date, lake.guid_is_link).select(SILVER.names)
-    return fold_snapshots(late, batch, last, len(feeds))
+    return fold_snapshots(late, batch, last, n_files)
 
 
 def ingest(
@@ -155,39 +140,27 @@ def ingest(
     The ledger is written last, and loading a file twice changes nothing, so a run that died
     at any point can be repeated.
     """
-    spark = lake.spark
     load_date = load_date or datetime.now(timezone.utc).isoformat()
-    report = IngestReport()
-    feeds = _feeds(pending_feeds(listing, lake.ledger()))
-    if not feeds:
-        return report
-    feeds = check_feeds(spark, feeds)
-    first_bad = next((feed.record_source for feed in feeds if feed.n_bad), None)
-    status: dict[str, str] = {}
-    for feed in feeds:
-        if feed.n_bad:
-            if strict:
-                break
-            status[feed.record_source] = REJECTED
-        elif feed.n_items == 0 and not allow_empty:
-            status[feed.record_source] = SKIPPED
-        else:
-            status[feed.record_source] = PROCESSED
-    good = [feed for feed in feeds if status.get(feed.record_source) == PROCESSED]
-    if good:
-        report.silver_version = lake.silver.write(_folded(lake, good, load_date))
-    seen = [feed for feed in feeds if feed.record_source in status]
-    if seen:
-        rows = [
-            (f.record_source, status[f.record_source], f.n_items, f.n_bad, load_date) for f in seen
-        ]
-        append_ledger(spark.createDataFrame(rows, LEDGER), lake.ledger_path)
-    report.processed = [name for name, s in status.items() if s == PROCESSED]
-    report.rejected = [name for name, s in status.items() if s == REJECTED]
-    report.skipped = [name for name, s in status.items() if s == SKIPPED]
-    if strict and first_bad:
+    pending = materialize(pending_feeds(listing, lake.ledger()), "pending")
+    if pending.isEmpty():
+        return IngestReport()
+    files = check_feeds(lake.spark, pending)
+    first_bad = files.filter("n_bad > 0").agg(F.min("record_source")).first()[0] if strict else None
+    if first_bad:
+        files = files.filter(F.col("record_source") < first_bad)
+    skip = (F.col("n_items") == 0) & ~F.lit(allow_empty)
+    status = F.when(F.col("n_bad") > 0, REJECTED).when(skip, SKIPPED).otherwise(PROCESSED)
+    files = files.withColumn("status", status)
+    counts = {row.status: row["count"] for row in files.groupBy("status").count().collect()}
+    version = None
+    if PROCESSED in counts:
+        good = files.filter(F.col("status") == PROCESSED)
+        version = lake.silver.write(_folded(lake, pending, good, load_date))
+    if counts:
+        append_ledger(files.withColumn("load_date", F.lit(load_date)), lake.ledger_path)
+    if first_bad:
         raise FeedRejected(f"{first_bad}: bad items; stopped before it")
-    return report
+    return IngestReport(*[counts.get(s, 0) for s in (PROCESSED, REJECTED, SKIPPED)], version)
 
 
 def sync_mirror(lake: Lake, open_store: Callable[[], KeyedStore] | None = None) -> SyncReport:

@@ -43,10 +43,8 @@ class SnapshotTable:
 
     def _latest(self) -> tuple[int, str | None]:
         commits = read_or_empty(self.spark, f"{self.root}/commits", schemas.COMMIT)
-        row = commits.agg(
-            F.max("version").alias("version"), F.max_by("path", "version").alias("path")
-        ).first()
-        return row.version or 0, row.path
+        row = commits.orderBy(F.desc("version")).first()
+        return (row.version, row.path) if row else (0, None)
 
     @property
     def version(self) -> int:
