@@ -11,11 +11,18 @@ from feedlake.schemas import KEY
 
 
 def events_on_date(
-    mirror: DataFrame, day: date, date_col: str = "start_date", time_col: str = "start_time"
+    mirror: DataFrame,
+    day: date,
+    date_col: str = "start_date",
+    time_col: str = "start_time",
+    key: str = KEY,
 ) -> DataFrame:
-    """Rows of one date in time order; a row without a time is not in this index."""
+    """Rows of one date in time order; a row without a time is not in this index.
+
+    The key settles ties, and lets the sort cut through a time that many rows share.
+    """
     rows = mirror.filter((F.col(date_col) == F.lit(day)) & F.col(time_col).isNotNull())
-    return rows.orderBy(time_col)
+    return rows.orderBy(time_col, key)
 
 
 def titles(mirror: DataFrame, title: str = "title") -> DataFrame:

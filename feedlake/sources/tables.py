@@ -123,8 +123,9 @@ CSV_OPTIONS = {
 }
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.options(**CSV_OPTIONS).csv(path)
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+    """Write CSV in files of bounded length, since each is read back by one task."""
+    df.write.options(**CSV_OPTIONS, maxRecordsPerFile=rows_per_file).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -102,10 +102,10 @@ def test_csv(spark, tmp_path):
 
 
 def test_events_on_date(spark):
-    rows = [(1, date(2024, 1, 1), "10:00:00"), (2, date(2024, 1, 1), None), (3, None, "09:00:00"),
+    rows = [(6, date(2024, 1, 1), "09:00:00"), (1, date(2024, 1, 1), "10:00:00"), (2, date(2024, 1, 1), None), (3, None, "09:00:00"),
             (4, date(2024, 1, 2), "08:00:00"), (5, date(2024, 1, 1), "09:00:00")]
     df = spark.createDataFrame(rows, "event_id int, start_date date, start_time string")
-    assert [r.event_id for r in events_on_date(df, date(2024, 1, 1)).collect()] == [5, 1]
+    assert [r.event_id for r in events_on_date(df, date(2024, 1, 1)).collect()] == [5, 6, 1]
 
 
 def test_titles_json_pages(spark):
