@@ -393,7 +393,7 @@ def quality_flags(spark, sf_dir):
         F.lit("").alias("end"),
         F.lit(None).cast("string").alias("_corrupt_record"),
     )
-    return items.select("page_id", silver.reject_reason().alias("reject_reason"))
+    return silver.judge_items(items).select("page_id", "reject_reason")
 
 
 def retention_tier(spark, sf_dir):

@@ -32,13 +32,9 @@ def date_text(text: Column) -> Column:
 
 def feed_date(text: Column) -> Column:
     """The date in ``text``; NULL if there is none or no such day (31 Feb, year 0)."""
-    day = F.try_to_date(date_text(text), "d MMM yyyy")
-    return F.when(F.year(day) >= 1, day)
-
-
-def is_impossible_date(text: Column) -> Column:
-    """True where something looks like a date but is no day of the calendar."""
-    return date_text(text).isNotNull() & feed_date(text).isNull()
+    # Year 0 parses in Spark but is no year: without it the rest does not parse.
+    said = F.regexp_replace(date_text(text), " 0000$", "")
+    return F.try_to_date(said, "d MMM yyyy")
 
 
 def feed_time(text: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feedlake.operators.merge import fold_snapshots
 from feedlake.operators.sync import DELETE, PUT, KeyedStore, push_plan, removed_rows
-from feedlake.plans.silver import REASON, clean_items, is_bad, reject_reason
+from feedlake.plans.silver import clean_items, is_bad, judge_items
 from feedlake.schemas import KEY, SILVER
 from feedlake.session import materialize
 from feedlake.sources.feeds import list_feeds, pending_feeds, scan_feeds, scan_feeds_whole
@@ -87,7 +87,7 @@ def _scan(spark: SparkSession, pending: DataFrame, files: DataFrame) -> DataFram
 
 
 def _checked(spark: SparkSession, pending: DataFrame, files: DataFrame) -> DataFrame:
-    items = _scan(spark, pending, files).withColumn(REASON, reject_reason())
+    items = judge_items(_scan(spark, pending, files))
     counted = items.groupBy("record_source").agg(
         F.count("*").alias("n_items"),
         F.count_if(is_bad()).alias("n_bad"),
@@ -137,8 +137,8 @@ def ingest(
     ``allow_empty``: a feed without items empties the table, as any snapshot would; if
     false such feeds are skipped.
 
-    The ledger is written last, and loading a file twice changes nothing, so a run that died
-    at any point can be repeated.
+    The ledger is written last, and rows of a file that is loaded twice stay the same, so a
+    run that died at any point can be repeated.
     """
     load_date = load_date or datetime.now(timezone.utc).isoformat()
     pending = materialize(pending_feeds(listing, lake.ledger()), "pending")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import schemas
-from feedlake.functions.fields import feed_date, feed_time, id_from_guid, is_impossible_date
+from feedlake.functions.fields import date_text, feed_date, feed_time, id_from_guid
 from feedlake.functions.html import class_text
 from feedlake.functions.text import ascii_text, optional_text, strip
 from feedlake.operators.validate import drop_bad_files, reasons
@@ -22,48 +22,49 @@ def is_bad() -> Column:
     return F.col(REASON) != ""
 
 
-def reject_reason() -> Column:
-    """Why an item makes its file unfit; ``""`` where it does not.
+def judge_items(items: DataFrame) -> DataFrame:
+    """Items with their id and dates read, and why an item makes its file unfit.
 
-    A missing element is NULL here, an empty one is ``""`` and passes.
+    ``reject_reason`` is ``""`` where it does not. A missing element is NULL here, an empty
+    one is ``""`` and passes. The end may lack a date, but not name a day that does not exist.
     """
-    return reasons(
+    end = F.col("end")
+    read = items.withColumns(
         {
-            "corrupt": F.col(CORRUPT).isNotNull(),
-            "title": F.col("title").isNull(),
-            "event_id": id_from_guid(F.col("guid")).isNull(),
-            "location": F.col("location").isNull(),
-            "start": feed_date(F.col("start")).isNull(),
-            "end": F.col("end").isNull() | is_impossible_date(F.col("end")),
+            "event_id": id_from_guid(F.col("guid")),
+            "start_date": feed_date(F.col("start")),
+            "end_date": feed_date(end),
         }
     )
+    checks = {
+        "corrupt": F.col(CORRUPT).isNotNull(),
+        "title": F.col("title").isNull(),
+        "event_id": F.col("event_id").isNull(),
+        "location": F.col("location").isNull(),
+        "start": F.col("start_date").isNull(),
+        "end": end.isNull() | (F.col("end_date").isNull() & date_text(end).isNotNull()),
+    }
+    return read.withColumn(REASON, reasons(checks))
 
 
 def clean_items(items: DataFrame, load_date: str, guid_is_link: bool = False) -> DataFrame:
-    """Silver columns plus ``reject_reason`` for every item, in one narrow select.
+    """Silver columns plus ``reject_reason`` for every item, in narrow selects.
 
     ``guid_is_link``: an item without a link takes its guid for one.
     """
-    start, end = F.col("start"), F.col("end")
     link = F.coalesce("link", "guid") if guid_is_link else F.col("link")
     cleaned = {
-        "event_id": id_from_guid(F.col("guid")),
         "title": strip(F.col("title")),
         "host": optional_text(F.col("host")),
-        "start_date": feed_date(start),
-        "end_date": feed_date(end),
-        "start_time": feed_time(start),
-        "end_time": feed_time(end),
+        "start_time": feed_time(F.col("start")),
+        "end_time": feed_time(F.col("end")),
         "event_description": class_text(F.col("description"), DESCRIPTION_CLASS, fold=True),
         "location": ascii_text(F.col("location")),
         "external_link": optional_text(link),
-        "record_source": F.col("record_source"),
         "load_date": F.lit(load_date),
     }
-    return items.select(
-        *[cleaned[f.name].cast(f.dataType).alias(f.name) for f in SILVER],
-        reject_reason().alias(REASON),
-    )
+    columns = [cleaned.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in SILVER]
+    return judge_items(items).select(*columns, REASON)
 
 
 def feed_to_silver(items: DataFrame, load_date: str, guid_is_link: bool = False) -> DataFrame:

@@ -23,7 +23,8 @@ def stream_feeds(
 
     The stream carries the file listing, not the items, so a feed without items is seen too.
     All new files make up one batch, which ``ingest`` sorts by name: files reach a stream in
-    order of modification. A batch that is replayed finds its files in the ledger.
+    order of modification. A batch that is replayed finds its files in the ledger. With
+    ``strict`` a bad file holds the stream up; a start with ``strict=False`` gets it past.
 
     ``archive``: folder that consumed files are moved to, one batch later.
     """
