@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from importlib import import_module
+from importlib.util import find_spec
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -438,8 +440,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return merge_snapshot(spark, "/root/testdata/sf0.001")
 
 
+def _corpus() -> tuple[dict[str, Callable], dict[str, str]]:
+    """Queries and SQL of the corpus operators, where that subpackage is there."""
+    if not (find_spec("feedlake.llm") and find_spec("corpus_pipeline")):
+        return {}, {}
+    corpus_pipeline, llm = import_module("corpus_pipeline"), import_module("feedlake.llm.queries")
+    sql = dict(llm.ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query by name; each takes the session and a data folder."""
+    return {**feed_queries(), **_corpus()[0]}
+
+
+def oracle_sql() -> dict[str, str]:
+    """SQL with the same result, for every query that SQL can express."""
+    return {**feed_sql(), **_corpus()[1]}
+
+
+def feed_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries of the feed pipeline."""
     listed = [
         list_pending_files, scan_feed_xml, scan_feed_xml_whole, scan_silver, scan_silver_typed,
         merge_first_run, scan_mirror, event_titles, adhoc_sql_by_date,
@@ -533,8 +556,8 @@ before AS (SELECT * FROM daily
 _STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
 
 
-def oracle_sql() -> dict[str, str]:
-    """SQL with the same result for each query.
+def feed_sql() -> dict[str, str]:
+    """SQL with the same result for each query of the feed pipeline.
 
     SQL has NFC, not NFKC. ``documents`` holds no compatibility characters, so there the two
     agree; the tests compare NFKC itself.

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, feed_queries, feed_sql
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -28,19 +28,19 @@ def as_rows(names, rows):
     return sorted(tuple(repr(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(feed_queries()))
 def test_query(spark, duck, name):
-    got = queries()[name](spark, SF_DIR)
+    got = feed_queries()[name](spark, SF_DIR)
     rows = got.collect()
     assert rows
-    want = duck.execute(oracle_sql()[name])
+    want = duck.execute(feed_sql()[name])
     names = [column[0] for column in want.description]
     assert sorted(got.columns) == sorted(names)
     assert as_rows(got.columns, rows) == as_rows(names, want.fetchall())
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(feed_sql()) == set(feed_queries())
 
 
 def test_entry(spark):
