@@ -2,12 +2,74 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from feedlake.llm import bpe, langid, line_dedup, minhash_oph, pfair
+from feedlake.llm.rows import column
+from feedlake.session import discard, materialize
+
+BPE_FILE = "byte_bpe_multi_50k.tiktoken"
+#: Letters in the predicted language, as a share, below which a text is no language we know.
+LEAST_SCORE = 0.2
+#: Target weights: sources by this power of their number of documents.
+MIX_POWER = 0.9
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that have no letters, or hardly any in a script of a learned language.
+
+    A missing ``lang`` is filled in; one that is there is left as it is.
+    """
+    model = langid.train(docs.filter(~langid.is_held_out(F.col("doc_id"))), "text", "lang", "doc_id")
+    found = langid.predict(docs, "text", model)
+    lang = F.coalesce(found["_lang_pred"], F.lit("und"))
+    stays = (lang != "und") & (found["_score"] >= LEAST_SCORE)
+    return found.filter(stays).select(*[F.coalesce(column(found, c), lang).alias(c) if c == "lang" else column(found, c) for c in docs.columns])
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without lines that stand elsewhere; documents of which no line is left go."""
+    found = line_dedup.dedup(docs, "doc_id", "text")
+    stays = ~((F.col("_n_removed") > 0) & (F.trim("text") == "")) | F.col("text").isNull()
+    n_chars = F.when(F.col("_n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return found.filter(stays).select(*[n_chars.alias(c) if c == "n_chars" else column(found, c) for c in docs.columns])
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shingles of five words link at a similarity of 0.8."""
+    return minhash_oph.keep_one(docs, "doc_id", "text")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix, in its order; what a source has beyond its target weight stays out."""
+    mixed = pfair.mix(docs, "source", "doc_id", power=MIX_POWER)
+    mixed = mixed.filter("_mix.in_mix").orderBy("_mix.slot", "doc_id")
+    return mixed.select([column(mixed, c) for c in docs.columns])
+
+
+def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, lang, and the tokens of the text: their number, a digest, and one of what they decode to."""
+    return bpe.round_trip(docs, ["doc_id", "source", "lang"], "text", public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("line dedup", drop_repeated_lines),
+    ("near-dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("byte-level BPE", encode_and_decode),
+]
+
+#: SQL has no language model, no SimHash and no such tokenizer; the tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after another, each written to the shared folder and read again."""
-    raise NotImplementedError
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (_, stage) in enumerate(STAGES):
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), f"stage{i}")
+        discard(before)
+    return docs

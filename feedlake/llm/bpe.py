@@ -21,8 +21,9 @@ import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from feedlake.llm.rows import map_slices, pick
+from feedlake.llm.rows import column, map_slices, pick
 
 MEMO_PIECES = 300_000
 MEMO_PAIRS = 500_000
@@ -250,9 +251,9 @@ def decode(df: DataFrame, id_col: str, ids_col: str, path: str, pattern: str) ->
     return rows.mapInArrow(run, f"id {kind}, bytes binary").toDF(id_col, "bytes")
 
 
-def round_trip(df: DataFrame, id_col: str, text_col: str, path: str, pattern: str) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256): encoded, decoded again, both as digests."""
-    docs = pick(df, id=id_col, text=text_col)
+def round_trip(df: DataFrame, keys: list[str], text_col: str, path: str, pattern: str) -> DataFrame:
+    """The key columns, n_tokens, ids_sha256 and decoded_sha256: encoded, decoded again, both as digests."""
+    docs = df.select(F.struct(*[column(df, k) for k in keys]).alias("keys"), column(df, text_col).alias("text"))
     shared, key = _shared(df, path, pattern)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -263,11 +264,9 @@ def round_trip(df: DataFrame, id_col: str, text_col: str, path: str, pattern: st
             n.append(len(ids))
             ids_hash.append(hashlib.sha256(codec.digits(ids).encode()).hexdigest())
             bytes_hash.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-        return pa.record_batch(
-            [batch.column("id"), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(bytes_hash, pa.string())],
-            ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
+        columns = [pa.array(n, pa.int64()), pa.array(ids_hash, pa.string()), pa.array(bytes_hash, pa.string())]
+        return pa.record_batch([batch.column("keys"), *columns], ["keys", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    kind = docs.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return map_slices(docs, work, schema).withColumnRenamed("id", id_col)
+    kind = docs.schema["keys"].dataType.simpleString()
+    schema = f"keys {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return map_slices(docs, work, schema).select("keys.*", "n_tokens", "ids_sha256", "decoded_sha256")

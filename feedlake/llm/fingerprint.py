@@ -20,14 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm.rows import map_slices, pick
+from feedlake.llm.shingling import shingles
 from feedlake.session import materialize
 
 VALUES = 64
 SHINGLE = 5
 SIMILAR = 0.8
 
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_BASE = 0x100000001B3
 _SEED = 20_231
 
 
@@ -38,48 +37,6 @@ def _family(values: int) -> tuple[np.ndarray, np.ndarray]:
     return a, draw.integers(0, 1 << 63, values, dtype=np.uint64)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(32))
-
-
-def _powers(n: int) -> np.ndarray:
-    steps = np.full(max(n, 1), _BASE, np.uint64)
-    steps[0] = 1
-    return np.multiply.accumulate(steps)
-
-
-def shingles(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all shingles of the texts one after another, and how many each text has.
-
-    White space and control signs of ASCII part words. A block of texts takes a few passes over
-    its bytes: the hash of a word is a polynomial of its bytes, that of a shingle mixes its words.
-    """
-    data = "\0".join([*(t.replace("\0", " ") for t in texts), ""]).lower().encode("utf-8", "surrogatepass")
-    raw = np.frombuffer(data, np.uint8)
-    ends = np.flatnonzero(raw == 0)
-    is_word = raw > 32
-    edge = np.flatnonzero(np.diff(is_word, prepend=False, append=False))
-    start, length = edge[::2], edge[1::2] - edge[::2]
-    if not len(start):
-        return np.zeros(0, np.uint64), np.zeros(len(ends), np.int64)
-    first = np.cumsum(length) - length
-    offset = np.arange(int(length.sum())) - np.repeat(first, length)
-    word = _mix(np.add.reduceat((raw[is_word] + np.uint64(1)) * _powers(int(length.max()))[offset], first))
-    text = np.searchsorted(ends, start, "left")
-    words = np.bincount(text, minlength=len(ends))
-    begin = np.cumsum(words) - words
-    counts = np.where(words >= size, words - size + 1, (words > 0).astype(np.int64))
-    # The shingle at word i joins the next words, as far as the text goes.
-    at = np.arange(len(word))
-    left = np.minimum((begin + words)[text] - at, size)
-    whole = np.zeros(len(word), np.uint64)
-    for k in range(size):
-        whole = np.where(left > k, _mix(whole * _ODD + word[np.minimum(at + k, len(word) - 1)]), whole)
-    return whole[at - begin[text] < counts[text]], counts
-
-
 #: Texts are taken in blocks of so many characters; a longer one is cut into runs of words that
 #: overlap by a shingle, whose least values are merged.
 BLOCK = 400_000
@@ -109,7 +66,7 @@ def signatures(texts: list[str], values: int = VALUES, size: int = SHINGLE) -> n
     seen = np.zeros(len(texts), bool)
     a, b = _family(values)
     for owners, block in _pieces(texts, size):
-        hashes, counts = shingles(block, size)
+        hashes, counts = shingles([t.lower().encode("utf-8", "surrogatepass") for t in block], size)
         some = np.flatnonzero(counts)
         if not len(some):
             continue
@@ -160,7 +117,7 @@ def similar_pairs(
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [t or "" for t in batch.column("text").to_pylist()]
-        sets, counts = shingles(texts, size)
+        sets, counts = shingles([t.lower().encode("utf-8", "surrogatepass") for t in texts], size)
         cuts = np.split(sets, np.cumsum(counts)[:-1])
         sets = [np.unique(x).view(np.int64) for x in cuts]
         prints = _hex(signatures(texts, values, size))

@@ -16,16 +16,16 @@ labelled text everything is ``und``.
 from __future__ import annotations
 
 import sys
-from bisect import bisect_right
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.rows import column, map_slices, pick, same_length_lower
+from feedlake.llm.rows import SLICE_CHARS, column, map_slices, pick, same_length_lower
 
 BUCKET_BITS = 15
 SWITCH = 12.0
@@ -240,23 +240,20 @@ def _labels(texts: list[str | None], model: Model | None, switch: float, spans:
     return lang, share.tolist()
 
 
-def predict(df: DataFrame, id_col: str, text_col: str, model: Model | None, switch: float = SWITCH) -> DataFrame:
-    """All columns of ``df`` with ``lang_pred`` and ``score`` (which must not be there yet)."""
+def predict(df: DataFrame, text_col: str, model: Model | None, switch: float = SWITCH) -> DataFrame:
+    """All columns of ``df`` with ``_lang_pred`` and ``_score``."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double")
-    def label(text):
-        import pandas as pd
-
+    def label(text: pd.Series) -> pd.DataFrame:
         langs, scores, held, size = [], [], [], 0
-        for t in text:
+        for t in [*text, None]:
             held.append(t)
             size += len(t or "")
-            if size > 2_000_000:
+            if size > SLICE_CHARS or len(langs) + len(held) > len(text):
                 a, b = _labels(held, shared.value, switch)
                 langs, scores, held, size = langs + a, scores + b, [], 0
-        a, b = _labels(held, shared.value, switch)
-        return pd.DataFrame({"lang": langs + a, "score": scores + b})
+        return pd.DataFrame({"lang": langs[: len(text)], "score": scores[: len(text)]})
 
     found = df.withColumn("_label", label(column(df, text_col)))
-    return found.withColumn("lang_pred", found["_label.lang"]).withColumn("score", found["_label.score"]).drop("_label")
+    return found.withColumns({"_lang_pred": F.col("_label.lang"), "_score": F.col("_label.score")}).drop("_label")

@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe, fingerprint, html_density, langid, pii
+from feedlake.llm import bpe, cross_polytope, fingerprint, html_density, langid, line_dedup, minhash_oph, pfair, pii, token_rollup
 from feedlake.llm.rows import hash_text
+from feedlake.session import materialize, work_path
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -58,7 +59,7 @@ def op5_language_id(spark, sf_dir):
 
 def op8_byte_bpe(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
-    return bpe.round_trip(docs, "doc_id", "text", public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
+    return bpe.round_trip(docs, ["doc_id"], "text", public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
 
 
 def op10_document_fingerprints(spark, sf_dir):
@@ -66,9 +67,65 @@ def op10_document_fingerprints(spark, sf_dir):
     return found.withColumn("edited", hash_text(F.col("edited"))).withColumnRenamed("edited", "edited_sha256")
 
 
+#: Counts by tokenizer version; both are plain patterns, so that SQL has them too.
+WORD = r"[^\x20\x09-\x0D]+"
+PIECE = r"\p{L}+|\p{N}+|[^\x20\x09-\x0D\p{L}\p{N}]+"
+TOKENIZERS = {"words-1": WORD, "pieces-1": PIECE}
+#: Signs that a later clean-up of the texts takes out.
+DECORATION = r"[#*$%&]{3}"
+LEAST_TOKENS = 20
+
+
+def op3_token_rollup(spark, sf_dir):
+    """Three batches, one of them delivered twice: all documents come in; texts lose their decoration
+    and counts are revised; documents of fewer than ``LEAST_TOKENS`` tokens go."""
+    docs = _table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    plain = F.regexp_replace(text, DECORATION, "")
+    counts = [
+        F.struct(F.lit(name).alias("tokenizer"), F.regexp_count(text, F.lit(p)).alias("old"), F.regexp_count(plain, F.lit(p)).alias("new"))
+        for name, p in TOKENIZERS.items()
+    ]
+    counts = materialize(docs.select("source", "lang", F.inline(F.array(*counts))), "counts")
+
+    def changes(kind: str, old, new, rows):
+        return rows.select(F.lit(kind).alias("change"), "source", "lang", "tokenizer", old.cast("bigint").alias("old_tokens"), new.cast("bigint").alias("new_tokens"))
+
+    none = F.lit(None)
+    revised = changes("revise", F.col("old"), F.col("new"), counts.filter("old <> new"))
+    rollup = token_rollup.Rollup(spark, work_path(spark, "rollup"))
+    rollup.commit("load", changes("insert", none, F.col("old"), counts))
+    rollup.commit("clean-up", revised)
+    rollup.commit("clean-up", revised)
+    rollup.commit("takedown", changes("delete", F.col("new"), none, counts.filter(F.col("new") < LEAST_TOKENS)))
+    return rollup.totals()
+
+
+def op4_fuzzy_line_dedup(spark, sf_dir):
+    found = line_dedup.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    return found.withColumnsRenamed({"_n_lines": "n_lines", "_n_removed": "n_removed"})
+
+
+def op6_minhash_near_dedup(spark, sf_dir):
+    return minhash_oph.components(_table(spark, sf_dir, "documents"), "doc_id", "text", size=2)
+
+
+def op7_pfair_mix(spark, sf_dir):
+    found = pfair.mix(_table(spark, sf_dir, "documents").select("doc_id", "source"), "source", "doc_id")
+    return found.select("doc_id", "source", "_mix.*")
+
+
+def op9_nearest_neighbours(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings")
+    return cross_polytope.neighbours(rows, "vec_id", "embedding", F.col("id") % 100 == 0)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op2_html_extraction, op5_language_id, op8_byte_bpe, op10_document_fingerprints)
-}
+    for f in (
+        op1_pii, op2_html_extraction, op3_token_rollup, op4_fuzzy_line_dedup, op5_language_id, op6_minhash_near_dedup,
+        op7_pfair_mix, op8_byte_bpe, op9_nearest_neighbours, op10_document_fingerprints,
+    )
+}
 
 ORACLES: dict[str, str] = {}
