@@ -9,7 +9,6 @@ from feedlake.session import materialize
 
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 ROW_BYTES = 32
-SALTS = 16
 
 
 def key_bytes(keys: DataFrame, on: str) -> int:
@@ -27,14 +26,11 @@ def restrict(
 ) -> DataFrame:
     """``rows`` with (``left_semi``) or without (``left_anti``) the distinct values of ``keys``.
 
-    The keys are measured first. If small they are broadcast, so ``rows`` is not shuffled at
-    all. If not they are joined by shuffle on (key, salt): the rows of one key go to
-    ``SALTS`` tasks, and each key is sent to all of them.
+    The keys are written once and measured. If small they are broadcast, so ``rows`` is not
+    shuffled at all. If not it is a plain join by shuffle: both sides come straight from their
+    exchange, so adaptive execution cuts the rows of a hot key into as many tasks as they need.
     """
     keys = materialize(keys.select(on).distinct())
     if key_bytes(keys, on) <= max_broadcast_bytes:
         return rows.join(F.broadcast(keys), on, how).select(rows.columns)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    spread = keys.withColumn("_salt", salts)
-    return salted.join(spread, [on, "_salt"], how).select(rows.columns)
+    return rows.join(keys.hint("merge"), on, how).select(rows.columns)

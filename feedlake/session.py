@@ -53,4 +53,18 @@ def materialize(df: DataFrame, name: str = "cut") -> DataFrame:
     """
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    cut = df.sparkSession.read.schema(df.schema).parquet(path)
+    cut.work_path = path
+    return cut
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table behind a result of ``materialize``; anything else is left alone.
+
+    Nothing that reads the table may be used afterwards.
+    """
+    path = vars(df).get("work_path")
+    if path:
+        spark = df.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
