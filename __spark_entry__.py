@@ -18,8 +18,8 @@ from feedlake.functions import fields, html, text
 from feedlake.operators import latest, lookup, merge, retention, sync, validate
 from feedlake.operators.keyed import restrict
 from feedlake.plans import jobs, silver
-from feedlake.schemas import SILVER
-from feedlake.session import work_path
+from feedlake.schemas import PERMALINK, SILVER
+from feedlake.session import materialize, work_path
 from feedlake.sources import feeds, tables
 from feedlake.streaming.ingest import stream_feeds
 
@@ -130,12 +130,17 @@ def sync_counts(spark, sf_dir):
 
 
 def removed_preview(spark, sf_dir):
-    return sync.removed_preview(removed_anti(spark, sf_dir), "user_id")
+    """Of all users, the first that have no event in the last hour."""
+    rows = _events(spark, sf_dir)
+    last = rows.agg(F.max("ts")).first()[0]
+    desired = rows.filter(F.col("ts") >= F.lit(last) - F.expr("interval 1 hour")).select(ROW)
+    current = latest.latest_per_key(rows, "user_id", _newest()).select(ROW)
+    return sync.removed_preview(sync.removed_rows(current, desired, "user_id"), "user_id")
 
 
 def mirror_apply(spark, sf_dir):
-    current, desired = _current_and_desired(spark, sf_dir)
-    plan = sync.sync_plan(current, desired, "user_id")
+    current, desired = (materialize(side) for side in _current_and_desired(spark, sf_dir))
+    plan = materialize(sync.sync_plan(current, desired, "user_id"))
     return sync.apply_plan(current, plan, "user_id")
 
 
@@ -144,7 +149,8 @@ def mirror_apply(spark, sf_dir):
 
 def clean_title(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
-    return docs.select("doc_id", text.strip(F.col("text")).alias("title"))
+    padded = F.concat(F.lit("\u2003\t"), F.col("text"), F.lit("\xa0\n"))
+    return docs.select("doc_id", text.strip(padded).alias("title"))
 
 
 def ascii_clean(spark, sf_dir):
@@ -154,12 +160,15 @@ def ascii_clean(spark, sf_dir):
 
 def optional_text(spark, sf_dir):
     turns = _table(spark, sf_dir, "conversations")
-    return turns.select("conv_id", "turn", text.optional_text(F.col("text")).alias("host"))
+    said = F.concat(F.lit(" "), F.col("text"), F.lit("\u3000"))
+    host = F.when(F.col("turn") % 3 == 0, "").when(F.col("turn") % 3 == 1, " \u3000 ").otherwise(said)
+    return turns.select("conv_id", "turn", text.optional_text(host).alias("host"))
 
 
 def nfkc_text(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
-    return docs.select("doc_id", html.nfkc_text(F.col("text")).alias("event_description"))
+    folded = html.nfkc_text(F.concat(F.lit("ﬁ①Ａ"), F.col("text")))
+    return docs.select("doc_id", folded.alias("event_description"))
 
 
 def guid_to_id(spark, sf_dir):
@@ -226,6 +235,7 @@ def _items(rows: DataFrame, key: str) -> DataFrame:
         said_end.alias("end"),
         description.alias("description"),
         F.lit(None).cast("string").alias("_corrupt_record"),
+        F.lit(True).alias(PERMALINK),
         F.date_format("ts", FEED_FILE).alias("record_source"),
     )
 
@@ -300,6 +310,26 @@ def scan_feed_xml_whole(spark, sf_dir):
     )
 
 
+def _loose_items(spark: SparkSession, sf_dir: str) -> str:
+    """Landed items as feeds in the wild have them: HTML entities, a bare &, a loose end tag."""
+    rows = _table(spark, sf_dir, "events")
+    item = F.concat(
+        F.lit("<item><title>"), F.col("event_type"), F.lit("&nbsp;&eacute; R&D &amp; more</title><guid isPermaLink='false'>"),
+        F.col("event_id").cast("string"), F.lit("</guid><link>https://feed.example.org/?a=1&b="), F.col("user_id").cast("string"),
+        F.lit("</link><host>&unknown; x</host><description><![CDATA[<b>a & b&nbsp;</b>]]></description></item >"),
+    )
+    landing = work_path(spark, "loose")
+    lines = rows.select(item.alias("item"), F.date_format("ts", FEED_FILE).alias("record_source"))
+    plain = {"extension": "xml", "quote": "\u0000", "sep": "\u0001", "ignoreLeadingWhiteSpace": "false"}
+    lines.write.partitionBy("record_source").options(**plain).csv(landing)
+    return landing
+
+
+def scan_lenient_xml(spark, sf_dir):
+    found = feeds.scan_feeds(spark, _loose_items(spark, sf_dir))
+    return found.select("title", "guid", "link", "host", "description", PERMALINK, "_corrupt_record", "record_source")
+
+
 def feed_to_silver(spark, sf_dir):
     landing = _landed(spark, _event_items(spark, sf_dir))
     return silver.feed_to_silver(feeds.scan_feeds(spark, landing), LOAD_DATE)
@@ -354,7 +384,9 @@ def catalog_schema_merge(spark, sf_dir):
 
 
 def csv_roundtrip(spark, sf_dir):
-    docs = _table(spark, sf_dir, "documents")
+    """With a language that reads like the mark for NULL."""
+    lang = F.when(F.col("lang") == "de", "\\N").when(F.col("lang") != "fr", F.col("lang"))
+    docs = _table(spark, sf_dir, "documents").withColumn("lang", lang)
     path = work_path(spark, "csv")
     tables.write_csv(docs, path)
     return tables.read_csv(spark, path, docs.schema)
@@ -400,7 +432,8 @@ def quality_flags(spark, sf_dir):
 
 def retention_tier(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders")
-    return retention.retention_tier(orders, "o_orderdate", AS_OF).select("o_orderkey", "tier")
+    dated = orders.withColumn("created", F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")))
+    return retention.retention_tier(dated, "created", AS_OF).select("o_orderkey", "tier")
 
 
 # --- whole jobs over landed feeds -------------------------------------------------------
@@ -419,11 +452,12 @@ def end_to_end_run(spark, sf_dir):
 def mirror_deletes(spark, sf_dir):
     """Two runs, the second with the last day only: what it removed from the mirror."""
     lake = _lake(spark)
-    listing = feeds.list_feeds(spark, _landed(spark, _daily_items(spark, sf_dir)))
+    landing = _landed(spark, _daily_items(spark, sf_dir))
+    listing = feeds.list_feeds(spark, landing)
     last = listing.agg(F.max("record_source")).first()[0]
-    jobs.ingest(lake, listing.filter(F.col("record_source") < last), LOAD_DATE)
+    jobs.ingest(lake, landing, LOAD_DATE, listing=listing.filter(F.col("record_source") < last))
     jobs.sync_mirror(lake)
-    jobs.ingest(lake, listing, LOAD_DATE)
+    jobs.ingest(lake, landing, LOAD_DATE)
     jobs.sync_mirror(lake)
     return lake.removed.read()
 
@@ -464,7 +498,7 @@ def oracle_sql() -> dict[str, str]:
 def feed_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries of the feed pipeline."""
     listed = [
-        list_pending_files, scan_feed_xml, scan_feed_xml_whole, scan_silver, scan_silver_typed,
+        list_pending_files, scan_feed_xml, scan_feed_xml_whole, scan_lenient_xml, scan_silver, scan_silver_typed,
         merge_first_run, scan_mirror, event_titles, adhoc_sql_by_date,
         silver_snapshot_roundtrip, mirror_apply, mirror_deletes, pending_minus_ledger,
         titles_json, catalog_schema_merge, csv_roundtrip,
@@ -528,8 +562,7 @@ def _silver_sql(key: str, source: str) -> str:
     return f"""
 SELECT {key}::INTEGER AS event_id,
        event_type || ' by user ' || user_id AS title,
-       CASE event_type WHEN 'signup' THEN NULL WHEN 'error' THEN ''
-            ELSE 'host ' || event_type END AS host,
+       CASE WHEN event_type NOT IN ('signup', 'error') THEN 'host ' || event_type END AS host,
        ts::DATE AS start_date,
        CASE event_type WHEN 'click' THEN NULL ELSE {_END}::DATE END AS end_date,
        strftime(ts, '%H:%M:%S') AS start_time,
@@ -537,7 +570,7 @@ SELECT {key}::INTEGER AS event_id,
             ELSE strftime({_END}, '%H:%M:%S') END AS end_time,
        event_type || ' user ' || user_id AS event_description,
        'R um ' || props AS location,
-       CASE event_type WHEN 'error' THEN NULL
+       CASE event_type WHEN 'error' THEN 'https://feed.example.org/event/' || {key}
             ELSE 'https://feed.example.org/e/' || event_id END AS external_link,
        {_FEED} AS record_source,
        '{LOAD_DATE}' AS load_date
@@ -559,8 +592,8 @@ _STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
 def feed_sql() -> dict[str, str]:
     """SQL with the same result for each query of the feed pipeline.
 
-    SQL has NFC, not NFKC. ``documents`` holds no compatibility characters, so there the two
-    agree; the tests compare NFKC itself.
+    SQL has NFC, not NFKC: what ``nfkc_text`` puts in front is given as it should come out, and
+    ``documents`` holds no other compatibility characters.
     """
     events_f = f"WITH {_E}"
     mirror = f"WITH {_MIRROR}"
@@ -573,6 +606,10 @@ def feed_sql() -> dict[str, str]:
         "pending_minus_ledger": f"SELECT max({_FEED}) AS record_source FROM events",
         "scan_feed_xml": _ITEMS_SQL,
         "scan_feed_xml_whole": _ITEMS_SQL,
+        "scan_lenient_xml": f"""SELECT event_type || chr(160) || 'é R&D & more' AS title,
+            event_id::VARCHAR AS guid, 'https://feed.example.org/?a=1&b=' || user_id AS link,
+            '&unknown; x' AS host, '<b>a & b&nbsp;</b>' AS description,
+            false AS guid_is_permalink, NULL::VARCHAR AS _corrupt_record, {_FEED} AS record_source FROM events""",
         "feed_to_silver": _SILVER_SQL,
         "scan_silver": _SILVER_SQL,
         "scan_silver_typed": _SILVER_SQL,
@@ -586,7 +623,8 @@ def feed_sql() -> dict[str, str]:
         "catalog_schema_merge": f"""SELECT event_id, title, start_date,
             CASE WHEN start_date >= DATE '{CUT}' THEN external_link END AS external_link
             FROM ({_SILVER_SQL})""",
-        "csv_roundtrip": "SELECT * FROM documents",
+        "csv_roundtrip": r"""SELECT * REPLACE (CASE lang WHEN 'de' THEN '\N' WHEN 'fr' THEN NULL ELSE lang END
+            AS lang) FROM documents""",
         "event_titles": "SELECT p_name AS title FROM part",
         "titles_json": """SELECT p_partkey // 1000 AS page,
             to_json(list(p_name ORDER BY p_partkey))::VARCHAR AS body
@@ -611,15 +649,19 @@ def feed_sql() -> dict[str, str]:
         "distinct_keys": "SELECT DISTINCT user_id FROM events",
         "union_existing_new": f"{events_f} SELECT {_ROW} FROM e",
         "removed_anti": f"{mirror} {removed}",
-        "removed_preview": f"{mirror} {removed} ORDER BY user_id LIMIT 20",
+        "removed_preview": f"""{events_f} SELECT * FROM ({_latest_sql("e")}) WHERE user_id NOT IN
+            (SELECT user_id FROM e WHERE ts >= (SELECT max(ts) FROM e) - INTERVAL 1 HOUR)
+            ORDER BY user_id LIMIT 20""",
         "sync_plan": f"{mirror} {plan}",
         "sync_counts": f"{mirror} SELECT op, count(*) AS n_rows FROM ({plan}) GROUP BY op",
         "clean_title": f"SELECT doc_id, {_STRIP.format('text')} AS title FROM documents",
         "ascii_clean": f"""SELECT doc_id, coalesce({_STRIP.format(
             "regexp_replace(text, '[^[:ascii:]]+', ' ', 'g')")}, '') AS location FROM documents""",
         "optional_text": f"""SELECT conv_id, turn,
-            CASE WHEN text <> '' THEN {_STRIP.format('text')} END AS host FROM conversations""",
-        "nfkc_text": "SELECT doc_id, nfc_normalize(text) AS event_description FROM documents",
+            CASE WHEN turn % 3 = 2 THEN nullif({_STRIP.format('text')}, '') END AS host
+            FROM conversations""",
+        "nfkc_text": """SELECT doc_id, 'fi1A' || nfc_normalize(text) AS event_description
+            FROM documents""",
         "guid_to_id": """SELECT page_id, CASE WHEN regexp_matches(tail, '^[+-]?[0-9]+$')
             THEN try_cast(tail AS INTEGER) END AS event_id
             FROM (SELECT page_id, string_split(url, '/')[-1] AS tail FROM pages)""",
@@ -640,8 +682,9 @@ def feed_sql() -> dict[str, str]:
             CASE WHEN page_id % 31 + 1 > 29 THEN 'start' END) AS reject_reason FROM pages""",
         "retention_tier": f"""SELECT o_orderkey, CASE WHEN age >= 60 THEN 'archive'
             WHEN age >= 30 THEN 'infrequent' ELSE 'standard' END AS tier
-            FROM (SELECT o_orderkey, date_diff('day', o_orderdate::DATE, DATE '{AS_OF}') AS age
-                  FROM orders) WHERE age < 90""",
+            FROM (SELECT o_orderkey, date_diff('day', CASE WHEN o_orderstatus <> 'P'
+                  THEN o_orderdate::DATE END, DATE '{AS_OF}') AS age FROM orders)
+            WHERE age < 90 OR age IS NULL""",
         "end_to_end_run": f"WITH {_DAILY} {_silver_sql('user_id', 'final')}",
         "stream_ingest": f"WITH {_DAILY} {_silver_sql('user_id', 'final')}",
         "mirror_deletes": f"""WITH {_DAILY} SELECT * FROM ({_silver_sql("user_id", "before")})

@@ -19,8 +19,8 @@ def strip(text: Column) -> Column:
 
 
 def optional_text(text: Column) -> Column:
-    """Empty becomes NULL, the rest is stripped; white space alone becomes ``""``."""
-    return F.when(text != "", strip(text))
+    """The stripped text; empty or white space alone becomes NULL."""
+    return F.nullif(strip(text), F.lit(""))
 
 
 def ascii_text(text: Column) -> Column:

@@ -6,6 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores as long as a column has it."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def newest_order(columns: list[str]) -> list[Column]:
     """What makes one silver row newer than another, greatest first to be compared.
 
@@ -20,9 +27,9 @@ def newest_order(columns: list[str]) -> list[Column]:
 
 
 def best_row(columns: list[str], key: str, newest: list[Column]) -> Column:
-    """Aggregate: the other columns of the greatest row, as the struct ``row``."""
+    """Aggregate: the other columns of the greatest row, as a struct."""
     others = [name for name in columns if name != key]
-    return F.max_by(F.struct(*others), F.struct(*newest)).alias("row")
+    return F.max_by(F.struct(*others), F.struct(*newest))
 
 
 def latest_per_key(df: DataFrame, key: str, newest: list[Column] | None = None) -> DataFrame:
@@ -32,8 +39,9 @@ def latest_per_key(df: DataFrame, key: str, newest: list[Column] | None = None)
     of the aggregated row, so a reader of keys alone does not pay for the rest.
     """
     newest = newest or newest_order(df.columns)
-    best = df.groupBy(key).agg(best_row(df.columns, key, newest))
-    return best.select(key, "row.*").select(df.columns)
+    row = free_name(df.columns, "row")
+    best = df.groupBy(key).agg(best_row(df.columns, key, newest).alias(row))
+    return best.select(key, f"{row}.*").select(df.columns)
 
 
 def latest_per_key_window(
@@ -42,8 +50,9 @@ def latest_per_key_window(
     """``latest_per_key`` as ``row_number() = 1``. Spark limits each key before the shuffle."""
     newest = newest or newest_order(df.columns)
     window = Window.partitionBy(key).orderBy(*[c.desc_nulls_last() for c in newest])
-    ranked = df.withColumn("rank", F.row_number().over(window))
-    return ranked.filter(F.col("rank") == 1).drop("rank")
+    rank = free_name(df.columns, "rank")
+    ranked = df.withColumn(rank, F.row_number().over(window))
+    return ranked.filter(F.col(rank) == 1).select(df.columns)
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:

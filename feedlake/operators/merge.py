@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.operators.latest import best_row, newest_order
+from feedlake.operators.latest import best_row, free_name, newest_order
 from feedlake.schemas import KEY
 
 
@@ -27,18 +27,19 @@ def merge_snapshot(
     """
     columns = existing.columns
     newest = newest or newest_order(columns)
+    is_new, row = free_name(columns, "is_new"), free_name(columns, "row")
     rows = union_rows(
-        existing.withColumn("_new", F.lit(False)), new.withColumn("_new", F.lit(True))
+        existing.withColumn(is_new, F.lit(False)), new.withColumn(is_new, F.lit(True))
     )
-    best = best_row(columns, key, newest)
-    merged = rows.groupBy(key).agg(best, F.bool_or("_new").alias("_new"))
-    return merged.filter("_new").select(key, "row.*").select(columns)
+    best = best_row(columns, key, newest).alias(row)
+    merged = rows.groupBy(key).agg(best, F.bool_or(is_new).alias(is_new))
+    return merged.filter(F.col(is_new)).select(key, f"{row}.*").select(columns)
 
 
 def present_in_all(rows: DataFrame, n_files: int, key: str, source: str) -> DataFrame:
-    """Keys that occur in each of ``n_files`` sources."""
-    per_key = rows.select(key, source).distinct().groupBy(key).agg(F.count("*").alias("n"))
-    return per_key.filter(F.col("n") == n_files).select(key)
+    """Keys that occur in each of ``n_files`` sources. The set of a key is no larger than that."""
+    per_key = rows.groupBy(key).agg(F.collect_set(source).alias("sources"))
+    return per_key.filter(F.size("sources") == n_files).select(key)
 
 
 def fold_snapshots(

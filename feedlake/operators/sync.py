@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import batched
 from typing import Protocol
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from feedlake.operators.latest import free_name
 from feedlake.schemas import KEY
 
 DELETE, PUT = "delete", "put"
@@ -19,19 +21,34 @@ def removed_rows(current: DataFrame, desired: DataFrame, key: str = KEY) -> Data
     return current.join(desired.select(key), key, "left_anti").select(current.columns)
 
 
+def _last_side(sides: list[DataFrame], key: str) -> tuple[DataFrame, str]:
+    """A row per key, that of the last side that has it, and the name of a column with its number.
+
+    One aggregate over all sides: each is shuffled once, reduced by key before.
+    """
+    columns = sides[0].columns
+    side, row = free_name(columns, "side"), free_name(columns, "row")
+    rows = reduce(DataFrame.unionByName, [s.select(*columns, F.lit(i).alias(side)) for i, s in enumerate(sides)])
+    others = [c for c in columns if c != key]
+    best = rows.groupBy(key).agg(F.max_by(F.struct(*others), side).alias(row), F.max(side).alias(side))
+    return best.select(key, f"{row}.*", side), side
+
+
 def sync_plan(current: DataFrame, desired: DataFrame, key: str = KEY) -> DataFrame:
     """What makes ``current`` equal ``desired``: an ``op`` column, then the row.
 
     A delete for every removed row, a put for every desired one. Both inputs have unique keys.
     """
-    deletes = removed_rows(current, desired, key).withColumn("op", F.lit(DELETE))
-    return deletes.unionByName(desired.withColumn("op", F.lit(PUT)))
+    both, side = _last_side([current, desired.select(current.columns)], key)
+    op = F.when(F.col(side) == 0, DELETE).otherwise(PUT)
+    return both.select(*current.columns, op.alias("op"))
 
 
 def apply_plan(current: DataFrame, plan: DataFrame, key: str = KEY) -> DataFrame:
     """The table after the plan: named keys leave, put rows come in whole."""
-    kept = current.join(plan.select(key), key, "left_anti")
-    return kept.unionByName(plan.filter(F.col("op") == PUT).select(current.columns))
+    columns = current.columns
+    both, side = _last_side([current.withColumn("op", F.lit(PUT)), plan.select(*columns, "op")], key)
+    return both.filter(F.col("op") == PUT).select(columns)
 
 
 def sync_counts(plan: DataFrame) -> DataFrame:

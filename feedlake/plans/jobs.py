@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from feedlake.operators.merge import fold_snapshots
 from feedlake.operators.sync import DELETE, PUT, KeyedStore, push_plan, removed_rows
 from feedlake.plans.silver import clean_items, is_bad, judge_items
-from feedlake.schemas import KEY, SILVER
-from feedlake.session import materialize
-from feedlake.sources.feeds import list_feeds, pending_feeds, scan_feeds, scan_feeds_whole
-from feedlake.sources.tables import SnapshotTable, append_ledger, read_ledger
+from feedlake.schemas import KEY, OPEN_SILVER, SILVER
+from feedlake.session import discard, materialize
+from feedlake.sources.feeds import archive_feeds, list_feeds, pending_feeds, scan_feeds, scan_feeds_whole
+from feedlake.sources.tables import SnapshotTable, append_ledger, publish, read_ledger
 
 PROCESSED, REJECTED, SKIPPED = "processed", "rejected", "skipped"
 MIRROR_ORDER = ["start_date", "start_time", KEY]
@@ -31,7 +31,10 @@ class Lake:
 
     spark: SparkSession
     root: str
-    guid_is_link: bool = False
+    guid_is_link: bool = True
+    #: Names in the catalog that ``run`` keeps at the latest versions.
+    silver_name: str | None = None
+    mirror_name: str | None = None
 
     @property
     def silver(self) -> SnapshotTable:
@@ -43,7 +46,8 @@ class Lake:
 
     @property
     def removed(self) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/removed", SILVER)
+        """Rows that the last sync deleted; rows of a foreign store may lack any column."""
+        return SnapshotTable(self.spark, f"{self.root}/removed", OPEN_SILVER)
 
     @property
     def ledger_path(self) -> str:
@@ -70,106 +74,136 @@ class SyncReport:
     mirror_version: int
 
 
-def _scan(spark: SparkSession, pending: DataFrame, files: DataFrame) -> DataFrame:
+def _scan(spark: SparkSession, landing: str, pending: DataFrame, files: DataFrame) -> DataFrame:
     """Items of the given files, by the reader that each of them needs.
 
-    Spark's readers take path names on the driver; nothing else of a file is gathered.
+    Spark's readers take path names on the driver: one per snapshot, however many parts it has.
     """
     wanted = pending.join(files.select("record_source", "whole"), "record_source")
-    rows = wanted.select("path", "whole").collect()
-    split = [row.path for row in rows if not row.whole]
-    whole = [row.path for row in rows if row.whole]
+    rows = wanted.select("whole", F.explode("snapshots").alias("below")).distinct().collect()
+    split = [row.below for row in rows if not row.whole]
+    whole = [row.below for row in rows if row.whole]
     if not whole:
-        return scan_feeds(spark, split)
+        return scan_feeds(spark, landing, split)
     if not split:
-        return scan_feeds_whole(spark, whole)
-    return scan_feeds(spark, split).unionByName(scan_feeds_whole(spark, whole))
+        return scan_feeds_whole(spark, landing, whole)
+    return scan_feeds(spark, landing, split).unionByName(scan_feeds_whole(spark, landing, whole))
 
 
-def _checked(spark: SparkSession, pending: DataFrame, files: DataFrame) -> DataFrame:
-    items = judge_items(_scan(spark, pending, files))
+def _checked(spark: SparkSession, landing: str, pending: DataFrame, files: DataFrame) -> DataFrame:
+    items = judge_items(_scan(spark, landing, pending, files))
     counted = items.groupBy("record_source").agg(
         F.count("*").alias("n_items"),
         F.count_if(is_bad()).alias("n_bad"),
         (F.bool_or("unsplittable") & F.bool_and("is_utf8")).alias("again"),
     )
-    found = files.join(counted, "record_source", "left")
-    return materialize(found.na.fill(0, ["n_items", "n_bad"]).na.fill(False, ["again"]), "checked")
+    found = materialize(files.join(counted, "record_source", "full"), "checked")
+    # A file that was read under a name nobody asked for would leave another one looking empty.
+    strange = found.filter("whole is null").first()
+    if strange:
+        raise ValueError(f"items of {strange.record_source!r}, which is not among the files to be read")
+    return found.na.fill(0, ["n_items", "n_bad"]).na.fill(False, ["again"])
 
 
-def check_feeds(spark: SparkSession, pending: DataFrame) -> DataFrame:
+def check_feeds(spark: SparkSession, landing: str, pending: DataFrame) -> DataFrame:
     """One row per pending file: ``n_items``, ``n_bad`` and whether it has to be read ``whole``.
 
     One pass over all items. Files that the splitting scan cannot cut right are then read
     again by the whole-file reader. Files without items are in the result too.
     """
-    names = pending.select("record_source").distinct().withColumn("whole", F.lit(False))
-    checked = _checked(spark, pending, names)
-    again = checked.filter("again").select("record_source", F.lit(True).alias("whole"))
+    names = pending.select("record_source", "state").withColumn("whole", F.lit(False))
+    checked = _checked(spark, landing, pending, names)
+    again = checked.filter("again").select("record_source", "state", F.lit(True).alias("whole"))
     checked = checked.filter(~F.col("again"))
     if not again.isEmpty():
-        checked = checked.unionByName(_checked(spark, pending, again))
+        checked = checked.unionByName(_checked(spark, landing, pending, again))
     return checked.drop("again")
 
 
-def _folded(lake: Lake, pending: DataFrame, files: DataFrame, load_date: str) -> DataFrame:
+def _folded(lake: Lake, landing: str, pending: DataFrame, files: DataFrame, load_date: str) -> DataFrame:
     """The silver table after ``files``. All but the last are read only if one can matter."""
     last, n_files = files.agg(F.max("record_source"), F.count("*")).first()
     late = lake.silver.read().filter(F.col("record_source") >= last)
+    # A file that came before and has changed replaces its own rows.
+    before = lake.ledger().filter(F.col("status") == PROCESSED).select("record_source")
+    changed = materialize(files.join(before, "record_source", "left_semi").select("record_source").distinct(), "changed")
+    if not changed.isEmpty():
+        late = late.join(changed, "record_source", "left_anti").select(late.columns)
     if late.isEmpty():
         files, n_files = files.filter(F.col("record_source") == last), 1
-    items = _scan(lake.spark, pending, files)
+    items = _scan(lake.spark, landing, pending, files)
     batch = clean_items(items, load_date, lake.guid_is_link).select(SILVER.names)
     return fold_snapshots(late, batch, last, n_files)
 
 
 def ingest(
     lake: Lake,
-    listing: DataFrame,
+    landing: str,
     load_date: str | None = None,
     strict: bool = True,
     allow_empty: bool = True,
+    listing: DataFrame | None = None,
+    archive: str | None = None,
 ) -> IngestReport:
-    """Apply the listed feeds that the ledger has not seen, in name order, to silver.
+    """Apply the landed feeds that the ledger has not seen, in name order, to silver.
 
     ``strict``: stop before the first bad file, keep what came before it, and raise; that
     file stays pending. Otherwise bad files are noted as rejected and left out.
     ``allow_empty``: a feed without items empties the table, as any snapshot would; if
     false such feeds are skipped.
+    ``listing``: the part of ``list_feeds`` to look at, if not all of it.
+    ``archive``: folder that the files of this run are moved to once the ledger has them.
 
     The ledger is written last, and rows of a file that is loaded twice stay the same, so a
     run that died at any point can be repeated.
     """
     load_date = load_date or datetime.now(timezone.utc).isoformat()
+    listing = list_feeds(lake.spark, landing) if listing is None else listing
     pending = materialize(pending_feeds(listing, lake.ledger()), "pending")
     if pending.isEmpty():
         return IngestReport()
-    files = check_feeds(lake.spark, pending)
+    files = check_feeds(lake.spark, landing, pending)
     first_bad = files.filter("n_bad > 0").agg(F.min("record_source")).first()[0] if strict else None
     if first_bad:
         files = files.filter(F.col("record_source") < first_bad)
     skip = (F.col("n_items") == 0) & ~F.lit(allow_empty)
     status = F.when(F.col("n_bad") > 0, REJECTED).when(skip, SKIPPED).otherwise(PROCESSED)
-    files = files.withColumn("status", status)
+    files = materialize(files.withColumn("status", status), "files")
     counts = {row.status: row["count"] for row in files.groupBy("status").count().collect()}
     version = None
     if PROCESSED in counts:
         good = files.filter(F.col("status") == PROCESSED)
-        version = lake.silver.write(_folded(lake, pending, good, load_date))
+        version = lake.silver.write(_folded(lake, landing, pending, good, load_date))
     if counts:
         append_ledger(files.withColumn("load_date", F.lit(load_date)), lake.ledger_path)
+    if archive and counts:
+        used = pending.join(files, "record_source", "left_semi").select(F.explode("snapshots").alias("below"))
+        archive_feeds(lake.spark, landing, [row.below for row in used.collect()], archive)
+    discard(files)
+    discard(pending)
     if first_bad:
         raise FeedRejected(f"{first_bad}: bad items; stopped before it")
     return IngestReport(*[counts.get(s, 0) for s in (PROCESSED, REJECTED, SKIPPED)], version)
 
 
-def sync_mirror(lake: Lake, open_store: Callable[[], KeyedStore] | None = None) -> SyncReport:
+def sync_mirror(
+    lake: Lake, open_store: Callable[[], KeyedStore] | None = None, current: DataFrame | None = None
+) -> SyncReport:
     """Make the mirror (and an external store, if given) equal silver.
 
-    The delete set is written as a table first: it is counted, previewed and sent from there.
+    ``current``: the rows that the external store really holds, with their key at least. What it
+    has beyond silver is deleted, also what no run of this job has put there. Without it the mirror
+    stands for the store. The delete set is written as a table first: it is counted, previewed and
+    sent from there.
     """
     desired = lake.silver.read()
-    lake.removed.write(removed_rows(lake.mirror.read(), desired))
+    held = lake.mirror.read()
+    if current is not None:
+        # Rows by the table's columns; those that the store does not have are NULL.
+        has = set(current.columns)
+        held = current.select(*[(F.col(f.name) if f.name in has else F.lit(None)).cast(f.dataType).alias(f.name) for f in SILVER])
+    # Not under the declared schema, since a store may hold less than a whole row.
+    lake.removed.write(removed_rows(held, desired))
     removed = lake.removed.read()
     if open_store:
         plan = removed.withColumn("op", F.lit(DELETE)).unionByName(
@@ -187,10 +221,16 @@ def run(
     strict: bool = True,
     allow_empty: bool = True,
     open_store: Callable[[], KeyedStore] | None = None,
+    current: DataFrame | None = None,
+    archive: str | None = None,
 ) -> tuple[IngestReport, SyncReport]:
-    """Landed feeds to silver, then silver to mirror. The second starts only if the first
-    did not raise.
+    """Landed feeds to silver, then silver to mirror; then the catalog names of ``lake``.
+
+    The second starts only if the first did not raise.
     """
-    listing = list_feeds(lake.spark, landing)
-    report = ingest(lake, listing, load_date, strict, allow_empty)
-    return report, sync_mirror(lake, open_store)
+    report = ingest(lake, landing, load_date, strict, allow_empty, archive=archive)
+    synced = sync_mirror(lake, open_store, current)
+    for table, name in ((lake.silver, lake.silver_name), (lake.mirror, lake.mirror_name)):
+        if name and table.version:
+            publish(table, name)
+    return report, synced

@@ -10,7 +10,7 @@ from feedlake.functions.fields import date_text, feed_date, feed_time, id_from_g
 from feedlake.functions.html import class_text
 from feedlake.functions.text import ascii_text, optional_text, strip
 from feedlake.operators.validate import drop_bad_files, reasons
-from feedlake.schemas import CORRUPT, SILVER
+from feedlake.schemas import CORRUPT, PERMALINK, SILVER
 
 # Fixed value: the class of the element that holds an event's description.
 DESCRIPTION_CLASS = "p-description"
@@ -47,12 +47,16 @@ def judge_items(items: DataFrame) -> DataFrame:
     return read.withColumn(REASON, reasons(checks))
 
 
-def clean_items(items: DataFrame, load_date: str, guid_is_link: bool = False) -> DataFrame:
+def clean_items(items: DataFrame, load_date: str, guid_is_link: bool = True) -> DataFrame:
     """Silver columns plus ``reject_reason`` for every item, in narrow selects.
 
-    ``guid_is_link``: an item without a link takes its guid for one.
+    ``guid_is_link``: an item without a link takes its guid for one, unless that says that it
+    is no permalink.
     """
-    link = F.coalesce("link", "guid") if guid_is_link else F.col("link")
+    link = optional_text(F.col("link"))
+    if guid_is_link:
+        permalink = F.when(F.col(PERMALINK), optional_text(F.col("guid")))
+        link = F.coalesce(link, permalink)
     cleaned = {
         "title": strip(F.col("title")),
         "host": optional_text(F.col("host")),
@@ -60,14 +64,14 @@ def clean_items(items: DataFrame, load_date: str, guid_is_link: bool = False) ->
         "end_time": feed_time(F.col("end")),
         "event_description": class_text(F.col("description"), DESCRIPTION_CLASS, fold=True),
         "location": ascii_text(F.col("location")),
-        "external_link": optional_text(link),
+        "external_link": link,
         "load_date": F.lit(load_date),
     }
     columns = [cleaned.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in SILVER]
     return judge_items(items).select(*columns, REASON)
 
 
-def feed_to_silver(items: DataFrame, load_date: str, guid_is_link: bool = False) -> DataFrame:
+def feed_to_silver(items: DataFrame, load_date: str, guid_is_link: bool = True) -> DataFrame:
     """Silver rows of the files in which every item is good."""
     cleaned = clean_items(items, load_date, guid_is_link)
     return drop_bad_files(cleaned, is_bad()).select(SILVER.names)

@@ -9,6 +9,9 @@ ITEM_FIELDS = ["title", "guid", "link", "host", "location", "start", "end", "des
 
 CORRUPT = "_corrupt_record"
 
+# Whether an item's guid is an address, which it is unless it says otherwise.
+PERMALINK = "guid_is_permalink"
+
 ITEM = T.StructType([T.StructField(name, T.StringType()) for name in ITEM_FIELDS])
 ITEM_WITH_CORRUPT = T.StructType([*ITEM.fields, T.StructField(CORRUPT, T.StringType())])
 
@@ -30,6 +33,9 @@ SILVER = T.StructType(
     ]
 )
 
+#: The same, with NULL allowed everywhere.
+OPEN_SILVER = T.StructType([T.StructField(f.name, f.dataType) for f in SILVER])
+
 KEY = "event_id"
 
 LEDGER = T.StructType(
@@ -39,6 +45,7 @@ LEDGER = T.StructType(
         T.StructField("n_items", T.LongType()),
         T.StructField("n_bad", T.LongType()),
         T.StructField("load_date", T.StringType()),
+        T.StructField("state", T.StringType()),
     ]
 )
 

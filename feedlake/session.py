@@ -46,13 +46,17 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/feedlake/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "cut") -> DataFrame:
+def materialize(df: DataFrame, name: str = "cut", release: bool = False) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     Cuts the lineage, outlives the loss of an executor, and gives the planner true sizes.
+    ``release``: the shuffle files behind it are no longer needed; Spark deletes them once the
+    driver has collected its garbage, which is asked for here rather than waited for.
     """
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
+    if release:
+        df.sparkSession._jvm.java.lang.System.gc()
     cut = df.sparkSession.read.schema(df.schema).parquet(path)
     cut.work_path = path
     return cut

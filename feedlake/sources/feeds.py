@@ -1,34 +1,72 @@
 """XML feed snapshots: listing, scanning, landing.
 
 A snapshot is one file ``<name>.xml`` or one folder ``<name>.xml`` (also
-``record_source=<name>.xml``) of part files; either way its name is the record source.
+``record_source=<name>.xml``) of part files; either way its name is the record source. Names
+are read below the landing folder only, by one rule for listing, scans and stream.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from html.entities import name2codepoint
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake import schemas
-from feedlake.schemas import CORRUPT, ITEM_FIELDS
+from feedlake.schemas import CORRUPT, ITEM_FIELDS, PERMALINK
 from feedlake.sources.tables import path_exists_or_empty
 
 # What follows ``<item`` where that opens an item, and markup that may hide one.
 AFTER_ITEM_TAG = r"^(?:\s[^<>]*)?/?>"
 ITEM_END = "</item>"
+LOOSE_END = r"</item\s+>"
 MAY_HIDE_ITEM = {"<![CDATA[": "]]>", "<!--": "-->"}
-SNAPSHOT_IN_PATH = r"/(?:record_source=)?([^/]+\.xml)(?:/[^/]+)?$"
+XML_ENTITIES = ("amp", "lt", "gt", "quot", "apos")
+# Fixed value: characters that XML 1.0 cannot hold.
+NOT_XML = "[^\\x{9}\\x{A}\\x{D}\\x{20}-\\x{D7FF}\\x{E000}-\\x{FFFD}\\x{10000}-\\x{10FFFF}]"
+
+# Cuts a text so that each section that may hide an item is a part of its own.
+SECTIONS = r"(?=<!\[CDATA\[|<!--)|(?<=\]\]>|-->)"
+#: Put into a hidden ``<item`` while a whole file is cut; a character that XML cannot hold.
+MASK = "\u0001"
+
+FIRST_XML = r"^(?:[^/]+/)*?([^/]+\.xml)(?:/.*)?$"
+PREFIX = "record_source="
 
 FILE_OPTIONS = {"pathGlobFilter": "*.xml", "recursiveFileLookup": "true"}
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+LISTING = "snapshot string, length long, modified timestamp, record_source string"
 ITEM_OPTIONS = {"ignoreSurroundingSpaces": "false", "nullValue": "\u0000"}
 
 
-def source_of_path(path: Column) -> Column:
-    return F.regexp_extract(path, SNAPSHOT_IN_PATH, 1)
+def _plain(escaped: Column) -> Column:
+    """A path without URL escapes; a plus sign is one."""
+    return F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B")))
+
+
+def _below(spark: SparkSession, landing: str) -> Column:
+    """The path of a scanned file below ``landing``, still escaped, without a leading slash."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(landing)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    root = system.makeQualified(path).toUri().getRawPath().rstrip("/")
+    # Less scheme and host, which readers and file systems write in different ways.
+    own = F.regexp_replace(F.col("_metadata.file_path"), r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", "")
+    return F.substring(own, F.lit(len(root) + 2), F.length(own))
+
+
+def source_of_path(below: Column) -> Column:
+    """The record source of an escaped path below the landing folder: its first ``.xml`` part."""
+    part = _plain(F.regexp_extract(below, FIRST_XML, 1))
+    # Spark escapes the values in names of partition folders once more.
+    named = _plain(F.substring(part, len(PREFIX) + 1, 1 << 30))
+    return F.when(part.startswith(PREFIX), named).otherwise(part)
+
+
+def _snapshot_of_path(below: Column) -> Column:
+    """The file or folder of the snapshot, below the landing folder."""
+    return _plain(F.regexp_extract(below, r"^((?:[^/]+/)*?[^/]+\.xml)(?:/.*)?$", 1))
 
 
 def _ends_inside(text: Column, opening: str, closing: str) -> Column:
@@ -37,97 +75,156 @@ def _ends_inside(text: Column, opening: str, closing: str) -> Column:
     return text.contains(opening) & ~after.contains(closing)
 
 
+def listing_columns(spark: SparkSession, landing: str) -> list[Column]:
+    """Columns of a listing, for the ``binaryFile`` reader of batch and stream alike."""
+    below = _below(spark, landing)
+    return [
+        _snapshot_of_path(below).alias("snapshot"),
+        F.col("length"),
+        F.col("modificationTime").alias("modified"),
+        source_of_path(below).alias("record_source"),
+    ]
+
+
 def list_feeds(spark: SparkSession, landing: str) -> DataFrame:
-    """Every feed file below ``landing``: path, length, record_source.
+    """Every feed file below ``landing``: snapshot (its path), length, modified, record_source.
 
     Only file metadata is read. A folder that does not exist yet is an empty listing.
     """
-    listing = path_exists_or_empty(
+    return path_exists_or_empty(
         spark,
-        lambda: spark.read.format("binaryFile").options(**FILE_OPTIONS).load(landing),
-        FILE_SCHEMA,
+        lambda: spark.read.format("binaryFile").options(**FILE_OPTIONS).load(landing).select(*listing_columns(spark, landing)),
+        LISTING,
     )
-    return listing.select("path", "length", source_of_path(F.col("path")).alias("record_source"))
 
 
-def pending_feeds(listing: DataFrame, ledger: DataFrame) -> DataFrame:
-    """The listing less what the ledger has seen. Both have a row per file, not per item."""
-    return listing.join(ledger.select("record_source").distinct(), "record_source", "left_anti")
+def snapshots(listing: DataFrame) -> DataFrame:
+    """A row per record source: its paths, and a state that changes with any of its files."""
+    file_state = F.xxhash64("snapshot", "length", "modified").cast("decimal(38,0)")
+    return listing.groupBy("record_source").agg(
+        F.collect_set("snapshot").alias("snapshots"), F.sum(file_state).cast("string").alias("state")
+    )
 
 
-def scan_feeds(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row per ``<item>``: its fields as text, plus columns about the read.
+def pending_feeds(listing: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Snapshots of the listing that the ledger has not seen in their present state.
 
-    Text is cut at ``<item``, so a file of any size is read by as many tasks as it has
-    splits, and one that is not UTF-8 or not XML marks its own rows (``_corrupt_record``)
-    and leaves the rest of the run alone. An ``<item`` or ``</item>`` inside CDATA or a
-    comment would be cut in the wrong place: where that may be so, rows carry
-    ``unsplittable``, and ``scan_feeds_whole`` reads their files exactly.
+    A snapshot with a new part, or put again with other content, is pending again. A ledger
+    row without a state stands for any.
     """
-    chunks = (
-        spark.read.options(**FILE_OPTIONS)
-        .option("lineSep", "<item")
-        .text(paths)
-        .select(
-            "value",
-            source_of_path(F.col("_metadata.file_path")).alias("record_source"),
-            F.is_valid_utf8("value").alias("is_utf8"),
-            F.col("value").rlike(AFTER_ITEM_TAG).alias("is_item"),
-        )
-    )
+    found = snapshots(listing)
+    known = ledger.groupBy("record_source").agg(F.collect_set("state").alias("states"), F.bool_or(F.col("state").isNull()).alias("any_state"))
+    seen = known.join(found.select("record_source", "state"), "record_source").filter(F.col("any_state") | F.array_contains("states", F.col("state")))
+    return found.join(seen.select("record_source"), "record_source", "left_anti")
+
+
+def _repaired(item: Column) -> Column:
+    """An item with entities that only HTML knows, and with bare ``&``, made XML outside CDATA."""
+    names = {n: f"&#{c};" for n, c in name2codepoint.items() if n not in XML_ENTITIES}
+    known = F.create_map([F.lit(x) for pair in names.items() for x in pair])
+    name = r"&([A-Za-z][A-Za-z0-9]*);"
+
+    def part(text: Column) -> Column:
+        found = F.array_except(F.array_distinct(F.regexp_extract_all(text, F.lit(name), 1)), F.array(*map(F.lit, XML_ENTITIES)))
+        by_name = F.aggregate(found, text, lambda t, n: F.replace(t, F.concat(F.lit("&"), n, F.lit(";")), F.coalesce(known[n], F.concat(F.lit("&amp;"), n, F.lit(";")))))
+        bare = F.regexp_replace(by_name, r"&(?!(?:[A-Za-z][A-Za-z0-9]*|#[0-9]+|#[xX][0-9a-fA-F]+);)", "&amp;")
+        return F.when(text.startswith("<![CDATA["), text).otherwise(bare)
+
+    odd = r"&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#[xX][0-9a-fA-F]+);)"
+    return F.when(item.rlike(odd), F.array_join(F.transform(F.split(item, SECTIONS), part), "")).otherwise(item)
+
+
+def _parsed(chunks: DataFrame, unsplittable: Column) -> DataFrame:
+    """Items of texts that begin behind ``<item``; needs value, record_source, is_utf8, is_item."""
     value = F.col("value")
-    hidden = [_ends_inside(value, *marks) for marks in MAY_HIDE_ITEM.items()]
-    two_ends = F.substring_index(value, ITEM_END, 2) != value
-    chunks = chunks.withColumn("unsplittable", reduce(or_, hidden, two_ends)).filter(
-        F.col("is_item") | ~F.col("is_utf8") | F.col("unsplittable")
-    )
+    chunks = chunks.withColumn("value", F.when(value.rlike(LOOSE_END), F.regexp_replace(value, LOOSE_END, ITEM_END)).otherwise(value))
+    chunks = chunks.withColumn("unsplittable", unsplittable).filter(F.col("is_item") | ~F.col("is_utf8") | F.col("unsplittable"))
     good = F.col("is_item") & F.col("is_utf8") & ~F.col("unsplittable") & value.contains(ITEM_END)
     item = F.concat(F.lit("<item"), F.substring_index(value, ITEM_END, 1), F.lit(ITEM_END))
+    item = _repaired(F.replace(item, F.lit(MASK), F.lit("")))
+    chunks = chunks.withColumns({"good": good, "item": F.when(good, item)})
     options = {**ITEM_OPTIONS, "columnNameOfCorruptRecord": CORRUPT}
-    fields = F.from_xml(F.when(good, item), schemas.ITEM_WITH_CORRUPT, options)
+    fields = F.from_xml(F.col("item"), schemas.ITEM_WITH_CORRUPT, options)
+    guid_tag = F.regexp_extract("item", r"<guid\b([^>]*)>", 1)
+    permalink = F.lower(F.regexp_extract(guid_tag, r"isPermaLink\s*=\s*[\"']([^\"']*)", 1)) != "false"
     # A generator, so that a later filter on the fields cannot pull the parser into itself
     # and run it once per field named.
-    parsed = chunks.select(
-        "record_source", "is_utf8", "unsplittable", good.alias("good"), F.inline(F.array(fields))
-    )
+    parsed = chunks.select("record_source", "is_utf8", "unsplittable", "good", permalink.alias(PERMALINK), F.inline(F.array(fields)))
     return parsed.select(
         *ITEM_FIELDS,
         F.when(F.col("good"), F.col(CORRUPT)).otherwise(F.lit("<item")).alias(CORRUPT),
+        PERMALINK,
         "is_utf8",
         "unsplittable",
         "record_source",
     )
 
 
-def scan_feeds_whole(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``scan_feeds`` by Spark's XML reader: exact for any well-formed file, one task a file.
+def _paths(landing: str, below: list[str] | None) -> str | list[str]:
+    if below is None:
+        return landing
+    # Readers take paths as globs: what a name has of their signs is escaped.
+    escaped = ["".join("\\" + c if c in "*?[]{}\\," else c for c in b) for b in below]
+    return [f"{landing.rstrip('/')}/{b}" for b in escaped]
+
+
+def scan_feeds(spark: SparkSession, landing: str, below: list[str] | None = None) -> DataFrame:
+    """One row per ``<item>``: its fields as text, plus columns about the read.
+
+    ``below``: snapshots as a listing names them, instead of all. Text is cut at ``<item``, so a
+    file of any size is read by as many tasks as it has splits, and one that is not UTF-8 or not
+    XML marks its own rows (``_corrupt_record``) and leaves the rest of the run alone. An ``<item``
+    or ``</item>`` inside CDATA or a comment would be cut in the wrong place: where that may be so,
+    rows carry ``unsplittable``, and ``scan_feeds_whole`` reads their files exactly.
 
-    Files must be UTF-8; this reader ends the job on one that is not.
+    HTML entities, a bare ``&`` and ``</item >`` are mended before an item is called corrupt.
     """
-    return (
-        spark.read.format("xml")
-        .schema(schemas.ITEM_WITH_CORRUPT)
-        .options(**FILE_OPTIONS, **ITEM_OPTIONS)
-        .option("rowTag", "item")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .load(paths)
+    chunks = (
+        spark.read.options(**FILE_OPTIONS)
+        .option("lineSep", "<item")
+        .text(_paths(landing, below))
         .select(
-            *ITEM_FIELDS,
-            CORRUPT,
-            F.lit(True).alias("is_utf8"),
-            F.lit(False).alias("unsplittable"),
-            source_of_path(F.col("_metadata.file_path")).alias("record_source"),
+            "value",
+            source_of_path(_below(spark, landing)).alias("record_source"),
+            F.is_valid_utf8("value").alias("is_utf8"),
+            F.col("value").rlike(AFTER_ITEM_TAG).alias("is_item"),
         )
     )
+    value = F.col("value")
+    hidden = [_ends_inside(value, *marks) for marks in MAY_HIDE_ITEM.items()]
+    two_ends = F.substring_index(value, ITEM_END, 2) != value
+    return _parsed(chunks, reduce(or_, hidden, two_ends))
+
+
+def scan_feeds_whole(spark: SparkSession, landing: str, below: list[str] | None = None) -> DataFrame:
+    """``scan_feeds`` with each file as one text: exact for any well-formed file, one task a file.
+
+    Sections that may hide an item are masked before the text is cut.
+    """
+    files = spark.read.options(**FILE_OPTIONS).text(_paths(landing, below), wholetext=True).select(
+        "value", source_of_path(_below(spark, landing)).alias("record_source"), F.is_valid_utf8("value").alias("is_utf8")
+    )
+
+    def masked(part: Column) -> Column:
+        hides = part.startswith("<![CDATA[") | part.startswith("<!--")
+        return F.when(hides, F.regexp_replace(part, "<(/?item)", f"<{MASK}$1")).otherwise(part)
+
+    sound = F.when(F.col("is_utf8"), F.col("value")).otherwise("")
+    text = F.when(sound.rlike(r"<!\[CDATA\[|<!--"), F.array_join(F.transform(F.split(sound, SECTIONS), masked), "")).otherwise(sound)
+    # A file that is not UTF-8 has one row that says so.
+    cut = F.when(F.col("is_utf8"), F.slice(F.split(text, "<item"), 2, 1 << 30)).otherwise(F.array(F.lit("")))
+    chunks = files.select("record_source", "is_utf8", F.explode(cut).alias("value"))
+    return _parsed(chunks.withColumn("is_item", F.col("value").rlike(AFTER_ITEM_TAG)), F.lit(False))
 
 
 def land_items(items: DataFrame, landing: str) -> None:
     """Write items as XML, one folder per ``record_source``.
 
+    Characters that XML cannot hold become U+FFFD, so that one of them does not end the write.
     REBALANCE lets AQE give a big source many files and a small one few.
     """
     (
-        items.select(*ITEM_FIELDS, "record_source")
+        items.select(*[F.regexp_replace(c, NOT_XML, "�").alias(c) for c in ITEM_FIELDS], "record_source")
         .hint("rebalance", F.col("record_source"))
         .write.format("xml")
         .option("rootTag", "rss")
@@ -136,3 +233,15 @@ def land_items(items: DataFrame, landing: str) -> None:
         .mode("append")
         .save(landing)
     )
+
+
+def archive_feeds(spark: SparkSession, landing: str, below: list[str], archive: str) -> None:
+    """Move snapshots, named as in a listing, out of the landing folder. One that is gone is skipped."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for name in below:
+        old, new = (jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}") for root in (landing, archive))
+        system = old.getFileSystem(conf)
+        if system.exists(old):
+            system.mkdirs(new.getParent())
+            if not system.rename(old, new):
+                raise OSError(f"{name}: could not be moved to {archive}")

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from feedlake import schemas
+from feedlake.operators.retention import retention_tier
 
 
 def path_exists_or_empty(
@@ -35,7 +36,8 @@ class SnapshotTable:
 
     A version counts once its row is in ``commits``, written last. So a reader never sees
     half a version, a crash leaves the one before in force, and a job may read the table
-    while it writes the next version of it. One writer at a time.
+    while it writes the next version of it. Two writers cannot take one version: the second
+    one fails.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: StructType = schemas.SILVER):
@@ -55,7 +57,10 @@ class SnapshotTable:
         return self._latest()[1]
 
     def read(self) -> DataFrame:
-        """The latest version under the declared schema; no rows before the first."""
+        """The latest version under the declared schema; no rows before the first.
+
+        Columns that came to the schema after the version was written are NULL.
+        """
         path = self.path
         if path is None:
             return self.spark.createDataFrame([], self.schema)
@@ -74,14 +79,53 @@ class SnapshotTable:
         if cluster_by:
             df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
         df.write.parquet(path)
+        self._claim(version)
         row = (version, path, datetime.now(timezone.utc))
         commit = self.spark.createDataFrame([row], schemas.COMMIT)
         commit.write.mode("append").parquet(f"{self.root}/commits")
         return version
 
 
+    def _claim(self, version: int) -> None:
+        """Take the right to commit a version; raises if another writer, or a lost one, took it."""
+        claim = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims/{version:08d}")
+        system = claim.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not system.createNewFile(claim):
+            if self._latest()[0] >= version or not self._stale(system, claim):
+                raise ConcurrentWrite(f"{self.root}: version {version} is taken by another writer")
+
+    @staticmethod
+    def _stale(system, claim) -> bool:
+        """A claim whose writer died before its commit: nothing followed it for an hour."""
+        age = datetime.now(timezone.utc).timestamp() * 1000 - system.getFileStatus(claim).getModificationTime()
+        return age > CLAIM_MILLISECONDS
+
+    def expire(self, as_of: date) -> int:
+        """Delete the files of versions that ``retention_tier`` counts as expired, never the latest."""
+        commits = read_or_empty(self.spark, f"{self.root}/commits", schemas.COMMIT)
+        commits = commits.withColumn("day", F.to_date("committed_at"))
+        kept = retention_tier(commits, "day", as_of).select("version")
+        latest = self._latest()[0]
+        old = commits.join(kept, "version", "left_anti").filter(F.col("version") != latest).collect()
+        gone = 0
+        for row in old:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(row.path)
+            gone += place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+        return gone
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer took the version first. Nothing was committed."""
+
+
+#: How long a claim without a commit holds others off.
+CLAIM_MILLISECONDS = 3_600_000
+
+
 def append_ledger(rows: DataFrame, path: str) -> None:
-    """Append file outcomes. Written after the data they speak of."""
+    """Append file outcomes. Written after the data they speak of. Without a state, any counts as seen."""
+    if "state" not in rows.columns:
+        rows = rows.withColumn("state", F.lit(None).cast("string"))
     rows.select(schemas.LEDGER.names).write.mode("append").parquet(path)
 
 
@@ -99,11 +143,12 @@ def publish(table: SnapshotTable, name: str) -> None:
 
     A view, so that the next version replaces this one in a single step.
     """
-    if table.path is None:
+    path = table.path
+    if path is None:
         raise ValueError(f"{table.root} has no version yet")
     columns = ", ".join(f"`{column}`" for column in table.schema.names)
     table.spark.sql(
-        f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{table.path}`"
+        f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{path}`"
     )
 
 
@@ -123,11 +168,21 @@ CSV_OPTIONS = {
 }
 
 
+def _escaped(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    text = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
+    return df.select(*[change(df[f"`{c}`"]).alias(c) if c in text else df[f"`{c}`"] for c in df.columns])
+
+
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
-    """Write CSV in files of bounded length, since each is read back by one task."""
-    df.write.options(**CSV_OPTIONS, maxRecordsPerFile=rows_per_file).csv(path)
+    """Write CSV in files of bounded length, since each is read back by one task.
+
+    A text that reads like the mark for NULL, with any number of backslashes, gets one more.
+    """
+    marked = _escaped(df, lambda c: F.when(c.rlike(r"^\\+N$"), F.concat(F.lit("\\"), c)).otherwise(c))
+    marked.write.options(**CSV_OPTIONS, maxRecordsPerFile=rows_per_file).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read back what ``write_csv`` wrote; quoted line breaks are part of a value."""
-    return spark.read.options(**CSV_OPTIONS, multiLine="true", mode="FAILFAST").schema(schema).csv(path)
+    rows = spark.read.options(**CSV_OPTIONS, multiLine="true", mode="FAILFAST").schema(schema).csv(path)
+    return _escaped(rows, lambda c: F.when(c.rlike(r"^\\{2,}N$"), F.substring(c, 2, 1 << 30)).otherwise(c))

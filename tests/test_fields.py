@@ -26,7 +26,7 @@ def test_strip_is_str_strip(spark):
 
 
 def test_optional_text(spark):
-    want = [v.strip() if v else None for v in DIRTY]
+    want = [v.strip() or None for v in DIRTY]
     assert over(spark, [*DIRTY, None], text.optional_text) == [*want, None]
 
 

@@ -1,6 +1,7 @@
 """The jobs as a user runs them: landed files in, silver and mirror out."""
 
 import json
+import os
 from pathlib import Path
 
 import pytest
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 from feedlake.operators.sync import apply_plan, push_plan, removed_preview, removed_rows, sync_counts, sync_plan
 from feedlake.plans import jobs
 from feedlake.sources import tables
-from feedlake.sources.feeds import list_feeds
 from feedlake.streaming.ingest import stream_feeds
 
 LOAD = "2024-02-01T00:00:00+00:00"
@@ -36,7 +36,7 @@ def ledger(lake):
 
 
 def ingest(lake, landing, load=LOAD, **options):
-    return jobs.ingest(lake, list_feeds(lake.spark, landing), load, **options)
+    return jobs.ingest(lake, landing, load, **options)
 
 
 def test_day_by_day_and_all_at_once_agree(spark, lake, landing, tmp_path):
@@ -238,7 +238,7 @@ def test_external_store_follows_silver(spark, lake, landing, tmp_path):
     jobs.run(lake, landing, LOAD, open_store=lambda: FolderStore(path))
     assert stored() == list(range(60, 130))
     row = json.loads((folder / "60").read_text())
-    assert (row["title"], row["start_date"]) == ("b", "2025-12-11") and "op" not in row
+    assert (row["title"], row["start_date"]) == ("b", "2024-05-07") and "op" not in row
     # The same plan again changes nothing.
     plan = sync_plan(lake.mirror.read(), lake.silver.read())
     push_plan(plan, lambda: FolderStore(path))
@@ -288,8 +288,98 @@ def test_stream_archives_what_it_has_used(lake, landing, tmp_path):
     assert name(1) in moved and name(3) not in moved
 
 
+def test_stream_takes_old_late_and_changed_files_like_a_batch(spark, lake, landing, tmp_path):
+    other = jobs.Lake(spark, str(tmp_path / "other"))
+
+    def both():
+        stream(lake, landing, tmp_path)
+        ingest(other, landing)
+        assert state(lake.silver) == state(other.silver)
+        return state(lake.silver)
+
+    put(landing, f"{name(1)}/part-0.xml", feed(item(1)))
+    assert both() == [(1, "T", name(1))]
+    old = put(landing, f"{name(1)}/part-1.xml", feed(item(2)))
+    long_ago = Path(old).stat().st_mtime - 30 * 86400
+    os.utime(old, (long_ago, long_ago))
+    assert both() == [(1, "T", name(1)), (2, "T", name(1))]
+    put(landing, f"{name(1)}/part-1.xml", feed(item(2, title="again"), item(3)))
+    assert both() == [(1, "T", name(1)), (2, "again", name(1)), (3, "T", name(1))]
+    assert lake.silver.version == other.silver.version == 3
+
+
+def test_names_that_need_escapes_do_not_empty_the_tables(lake, landing):
+    put(landing, "a b.xml", feed(item(1)))
+    put(landing, "a%20c+é.xml", feed(item(1), item(2)))
+    report, _ = jobs.run(lake, landing, LOAD)
+    assert report.processed == 2
+    assert state(lake.mirror) == [(1, "T", "a%20c+é.xml"), (2, "T", "a%20c+é.xml")]
+    assert {r.record_source: r.n_items for r in lake.ledger().collect()} == {"a b.xml": 1, "a%20c+é.xml": 2}
+
+
+def test_items_of_an_unknown_file_stop_the_run(lake, landing, monkeypatch):
+    put(landing, name(1), feed(item(1)))
+    real = jobs.scan_feeds
+    monkeypatch.setattr(jobs, "scan_feeds", lambda *a: real(*a).withColumn("record_source", F.lit("strange.xml")))
+    with pytest.raises(ValueError, match="strange.xml"):
+        ingest(lake, landing)
+    assert lake.silver.version == 0
+
+
+def test_used_files_can_be_moved_away(lake, landing, tmp_path):
+    put(landing, name(1), feed(item(1)))
+    put(landing, f"{name(2)}/part 0.xml", feed(item(2)))
+    put(landing, name(3), feed(item(3, start="never")))
+    with pytest.raises(jobs.FeedRejected):
+        jobs.run(lake, landing, LOAD, archive=str(tmp_path / "done"))
+    assert sorted(p.name for p in (tmp_path / "done").iterdir()) == [name(1), name(2)]
+    assert [p.name for p in Path(landing).iterdir() if not p.name.startswith(".")] == [name(3)]
+
+
+def test_store_that_drifted_is_cleaned(spark, lake, landing, tmp_path):
+    """The store holds a row that no run has put there, and lacks one that the mirror has."""
+    from pyspark import cloudpickle
+
+    import test_jobs
+
+    cloudpickle.register_pickle_by_value(test_jobs)
+    folder = tmp_path / "store"
+    folder.mkdir()
+    path = str(folder)
+    put(landing, name(1), feed(item(1), item(2)))
+    jobs.run(lake, landing, LOAD, open_store=lambda: FolderStore(path))
+    (folder / "77").write_text("{}")
+    (folder / "1").unlink()
+    held = spark.createDataFrame([(int(p.name),) for p in folder.iterdir()], "event_id int")
+    report = jobs.sync_mirror(lake, lambda: FolderStore(path), held)
+    assert (report.n_deleted, report.n_put) == (1, 2)
+    assert sorted(p.name for p in folder.iterdir()) == ["1", "2"]
+    assert [r.event_id for r in lake.removed.read().collect()] == [77]
+
+
+def test_catalog_follows_the_runs(spark, landing, tmp_path):
+    lake = jobs.Lake(spark, str(tmp_path / "lake"), silver_name="silver_now", mirror_name="mirror_now")
+    try:
+        for day in (1, 2):
+            put(landing, name(day), feed(item(day)))
+            jobs.run(lake, landing, LOAD)
+            for view in ("silver_now", "mirror_now"):
+                assert [r.event_id for r in spark.sql(f"SELECT event_id FROM {view}").collect()] == [day]
+    finally:
+        spark.sql("DROP VIEW IF EXISTS silver_now")
+        spark.sql("DROP VIEW IF EXISTS mirror_now")
+
+
+def test_plan_shuffles_each_side_once(spark, capsys):
+    rows = [(i, str(i)) for i in range(50)]
+    current, desired = (spark.createDataFrame(rows, "event_id int, title string") for _ in range(2))
+    sync_plan(current, desired).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Scan ExistingRDD") == 2 and "Join" not in plan
+
+
 def test_ledger_grows(spark, tmp_path):
-    rows = spark.createDataFrame([("f1", "processed", 1, 0, LOAD)], tables.schemas.LEDGER)
+    rows = spark.createDataFrame([("f1", "processed", 1, 0, LOAD, "s")], tables.schemas.LEDGER)
     tables.append_ledger(rows, str(tmp_path / "l"))
     tables.append_ledger(rows.withColumn("record_source", F.lit("f2")), str(tmp_path / "l"))
     assert tables.read_ledger(spark, str(tmp_path / "l")).count() == 2

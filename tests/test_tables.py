@@ -1,6 +1,7 @@
 """Versioned tables, ledger, catalog, CSV, lookups, retention."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -130,3 +131,32 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert work_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert rows_of(materialize(frame(spark, [(1, "a")]))) == [(1, "a")]
     assert materialize(frame(spark, [])).isEmpty()
+
+
+def test_csv_keeps_what_reads_like_null(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate(["\\N", "\\\\N", "\\", "N", "", None, "x\\N"])]
+    df = spark.createDataFrame(rows, "i int, t string")
+    tables.write_csv(df, str(tmp_path / "c"))
+    assert sorted(map(tuple, tables.read_csv(spark, str(tmp_path / "c"), df.schema).collect())) == rows
+
+
+def test_two_writers_cannot_take_one_version(spark, tmp_path):
+    schema = "i int"
+    df = spark.createDataFrame([(1,)], schema)
+    table = tables.SnapshotTable(spark, str(tmp_path / "t"), df.schema)
+    table.write(df)
+    slow = tables.SnapshotTable(spark, str(tmp_path / "t"), df.schema)
+    slow._latest = lambda: (0, None)
+    with pytest.raises(tables.ConcurrentWrite):
+        slow.write(df)
+    assert table.version == 1
+
+
+def test_expired_versions_go_but_the_latest_stays(spark, tmp_path):
+    df = spark.createDataFrame([(1,)], "i int")
+    table = tables.SnapshotTable(spark, str(tmp_path / "t"), df.schema)
+    first = (table.write(df), table.path)[1]
+    table.write(df)
+    assert table.expire(date.today()) == 0
+    assert table.expire(date.today() + timedelta(days=400)) == 1
+    assert not Path(first.removeprefix("file:")).exists() and table.read().count() == 1
