@@ -21,7 +21,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.linking import link
+from feedlake.llm.linking import Near, link
 from feedlake.llm.rows import column, pick
 from feedlake.operators.keyed import MAX_BROADCAST_BYTES, restrict
 from feedlake.session import discard, materialize
@@ -72,14 +72,6 @@ def block_keys(simhash: Column, agree: int) -> Column:
     return F.array(*keys)
 
 
-def _near(similar: float):
-    def near(a, b) -> Column:
-        sizes = F.least(a("n"), b("n")) >= similar * F.greatest(a("n"), b("n"))
-        return (F.bit_count(a("simhash").bitwiseXOR(b("simhash"))) <= DISTANCE) & sizes
-
-    return near
-
-
 def _confirm(docs: DataFrame, classes: DataFrame, similar: float):
     """Of pairs (a, b) of classes those with similar normalised lines, read where they first stand."""
 
@@ -100,17 +92,18 @@ def _confirm(docs: DataFrame, classes: DataFrame, similar: float):
 def repeated_lines(df: DataFrame, id_col: str, text_col: str, similar: float = SIMILAR, agree: int = 2) -> DataFrame:
     """(row, gone): for each document that loses lines, a hash of its id and text, and their numbers."""
     docs = _rows(pick(df, id=id_col, text=text_col), "id", "text")
-    lines = materialize(lines_of(docs), "lines")
+    lines = materialize(lines_of(docs), "lines", release=True)
     first = F.min(F.struct(F.col("id").isNull().alias("late"), "id", "row", "pos")).alias("first")
     classes = lines.groupBy("k1", "k2").agg(first, F.count("*").alias("times"), F.min("n").alias("n"), F.min("simhash").alias("simhash"))
-    classes = materialize(classes, "classes")
-    roots = link(classes.select(F.col("k1").alias("id"), "n", "simhash"), block_keys(F.col("simhash"), agree), _near(similar), _confirm(docs, classes, similar))
+    classes = materialize(classes, "classes", release=True)
+    near = Near("n", round(100 * similar), ("simhash",), DISTANCE)
+    roots = link(classes.select(F.col("k1").alias("id"), "n", "simhash"), block_keys(F.col("simhash"), agree), near, _confirm(docs, classes, similar))
     rooted = materialize(classes.select("k1", "k2", "first", "times").join(roots.toDF("k1", "root"), "k1", "left").withColumn("root", F.coalesce("root", "k1")), "rooted")
     groups = rooted.groupBy("root").agg(F.min("first").alias("stays"), F.sum("times").alias("times")).filter("times > 1").drop("times")
     groups = materialize(groups, "groups")
     several = materialize(rooted.select("k1", "k2", "root").join(groups, "root").select("k1", "k2", "stays.row", "stays.pos").toDF("k1", "k2", "stay_row", "stay_pos"), "several")
     gone = lines.join(several, ["k1", "k2"]).filter("row <> stay_row or pos <> stay_pos")
-    out = materialize(gone.groupBy("row").agg(F.collect_set("pos").alias("gone")), "gone")
+    out = materialize(gone.groupBy("row").agg(F.collect_set("pos").alias("gone")), "gone", release=True)
     for used in (lines, classes, rooted, groups, several):
         discard(used)
     return out

@@ -2,23 +2,56 @@
 
 Only DataFrame operations. Work grows with the members of a key, not with their square:
 
-1. Star: in each key every member is compared with the smallest one.
-2. Keys whose members now all belong to one group are done.
-3. In the others a second star is drawn around a member chosen by a hash.
-4. What is still in different groups under one key is compared pair by pair, as far as a cheap
-   test of both sides does not rule the pair out. So no link is lost that the keys offer.
+1. Pairs: a key with two members needs no join, one aggregate holds all that is to be known of them.
+2. Star: in a key with more members, each is compared with the smallest one.
+3. Keys whose members now all belong to one group are done.
+4. In the others a second star is drawn around a member chosen by a hash.
+5. What is still in different groups under one key is compared pair by pair, as far as a cheap
+   test of both sides does not rule the pair out. So no link is lost that the keys offer. Where things
+   are sets, parts that no other member has rule out most of these pairs, and never a link.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedlake.operators.keyed import restrict
 from feedlake.session import discard, materialize
 
-Near = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
+
+@dataclass(frozen=True)
+class Near:
+    """The cheap test: sizes of which the smaller is ``share`` percent of the larger at least, and
+    bit columns that differ in ``most_bits`` bits at most."""
+
+    size: str
+    share: int
+    bits: tuple[str, ...]
+    most_bits: int
+
+    @property
+    def columns(self) -> list[str]:
+        return [self.size, *self.bits]
+
+    def _test(self, small: Column, large: Column, differ: list[Column]) -> Column:
+        bits = sum((F.bit_count(d) for d in differ), F.lit(0))
+        return (100 * small >= self.share * large) & (bits <= self.most_bits)
+
+    def of(self, a: str, b: str) -> Column:
+        """The test on two sides, named by the prefixes of their columns."""
+        sizes = F.col(f"{a}.{self.size}"), F.col(f"{b}.{self.size}")
+        return self._test(F.least(*sizes), F.greatest(*sizes), [F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}")) for c in self.bits])
+
+    def sums(self) -> list[Column]:
+        """Aggregates over the members of a key that hold the test of a key with two."""
+        return [F.min(self.size).alias("small"), F.max(self.size).alias("large"), *[F.bit_xor(c).alias(c) for c in self.bits]]
+
+    def of_sums(self) -> Column:
+        return self._test(F.col("small"), F.col("large"), [F.col(c) for c in self.bits])
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -50,48 +83,64 @@ def connected(edges: DataFrame) -> DataFrame:
     return roots
 
 
-def link(facts: DataFrame, keys: Column, near: Near, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def link(
+    facts: DataFrame,
+    keys: Column,
+    near: Near,
+    confirm: Callable[[DataFrame], DataFrame],
+    alone: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """(id, root) of all ids that are linked to a smaller one, directly or through others.
 
-    ``facts`` has a row per id, with what ``near`` needs; ``keys`` is an array of long per row.
-    ``near`` rules pairs out cheaply, ``confirm`` keeps the true ones of pairs (a, b).
+    ``facts`` has a row per id, with the columns of ``near``; ``keys`` is an array of long per row.
+    ``near`` rules pairs out cheaply, ``confirm`` keeps the true ones of pairs (a, b). ``alone``,
+    for sets of ``near.size`` parts: (id, own) of given ids, the parts that none of the others has.
     """
-    kept = [c for c in facts.columns if c != "id"]
-    members = facts.select("id", *kept, F.explode(keys).alias("key"))
-    firsts = materialize(members.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "firsts")
-    shared = materialize(members.join(firsts, "key"), "shared")
-
-    def likely(pairs: DataFrame) -> DataFrame:
-        """Of pairs (a, b) those that ``near`` does not rule out."""
-        sides = [facts.select(F.col("id").alias(k), F.struct(*kept).alias(f"{k}_facts")) for k in "ab"]
-        both = pairs.distinct().join(sides[0], "a").join(sides[1], "b")
-        return both.filter(near(lambda c: F.col(f"a_facts.{c}"), lambda c: F.col(f"b_facts.{c}"))).select("a", "b")
+    members = facts.select("id", *near.columns, F.explode(keys).alias("key"))
+    counted = members.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"), *near.sums())
+    met = counted.filter((F.col("n") > 2) | ((F.col("n") == 2) & near.of_sums()))
+    met = materialize(met.select("key", "first", "last", "n"), "met", release=True)
+    crowded = met.filter("n > 2")
+    # Few keys have three members or more: those are sent to the members if their size allows.
+    shared = restrict(members, crowded, "key", "left_semi").join(crowded.select("key", "first"), "key")
+    shared = materialize(shared, "shared", release=True)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = materialize(pairs, "pairs")
-        return materialize(confirm(pairs) if not pairs.isEmpty() else pairs, "links")
+        pairs = materialize(pairs.distinct(), "pairs")
+        return materialize(confirm(pairs) if not pairs.isEmpty() else pairs, "links", release=True)
+
+    def starred(rows: DataFrame, centres: DataFrame, where: str) -> DataFrame:
+        """Pairs of the members of each key with its centre, as far as they may be near."""
+        both = rows.alias("x").join(centres.alias("y"), F.col("x.key") == F.col("y.key")).filter(F.expr(where) & near.of("x", "y"))
+        return both.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
 
-    links = confirmed(likely(shared.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))))
-    discard(firsts)
-    shared, roots = _mixed(shared, kept, connected(links))
+    two = met.filter("n = 2").select(F.col("first").alias("a"), F.col("last").alias("b"))
+    links = confirmed(two.union(starred(shared, shared.filter("id = first"), "x.id <> y.id")))
+    shared, roots = _mixed(shared, near, connected(links))
     if not shared.isEmpty():
-        centre = shared.filter("spread = pick").select("key", F.col("id").alias("a"), F.col("root").alias("a_root"))
-        star = shared.join(centre, "key").filter("root <> a_root").select("a", F.col("id").alias("b"))
-        links = links.union(confirmed(likely(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))))
-        shared, roots = _mixed(shared, kept, connected(links))
+        star = starred(shared, shared.filter("spread = pick"), "x.root <> y.root")
+        links = links.union(confirmed(star))
+        shared, roots = _mixed(shared, near, connected(links))
     if not shared.isEmpty():
-        x, y = shared.alias("x"), shared.alias("y")
-        test = near(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"))
-        rest = x.join(y, (F.col("x.key") == F.col("y.key")) & F.expr("x.id < y.id and x.root <> y.root") & test)
-        links = links.union(confirmed(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()))
+        test = F.expr("x.id < y.id and x.root <> y.root") & near.of("x", "y")
+        if alone:
+            own = materialize(alone(shared.select("id").distinct()), "own")
+            shared = materialize(shared.join(own, "id", "left").na.fill(0, ["own"]), "shared")
+            # At most n - own parts are common, and the union has at least n + own of the other side.
+            for a, b in ("xy", "yx"):
+                n = F.col(f"{a}.{near.size}")
+                test &= 100 * (n - F.col(f"{a}.own")) >= near.share * (n + F.col(f"{b}.own"))
+        rest = shared.alias("x").join(shared.alias("y"), (F.col("x.key") == F.col("y.key")) & test)
+        links = links.union(confirmed(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))))
         roots = connected(links)
     discard(shared)
+    discard(met)
     return roots
 
 
-def _mixed(shared: DataFrame, kept: list[str], roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _mixed(shared: DataFrame, near: Near, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The members of keys under which several groups meet, with their group and a chosen member."""
-    rows = shared.select("key", "id", *kept).join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    rows = shared.select("key", "id", *near.columns).join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     rows = materialize(rows.withColumn("spread", F.xxhash64("id", "key")), "shared")
     several = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("spread").alias("pick"))
     several = materialize(several.filter("lo <> hi").select("key", "pick"), "several")

@@ -19,10 +19,10 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.linking import link
+from feedlake.llm.linking import Near, link
 from feedlake.llm.rows import map_slices, pick
 from feedlake.llm.shingling import mix, shingles
 from feedlake.operators.keyed import restrict
@@ -102,27 +102,23 @@ def _sketches(docs: DataFrame, size: int) -> DataFrame:
     return map_slices(docs, work, f"id bigint, n bigint, set_a bigint, set_b bigint, bands array<bigint>, {bits}")
 
 
-def _near(percent: int):
-    def near(a, b) -> Column:
-        sizes = 100 * F.least(a("n"), b("n")) >= percent * F.greatest(a("n"), b("n"))
-        differ = sum((F.bit_count(a(f"bits{i}").bitwiseXOR(b(f"bits{i}"))) for i in range(BITS // 64)), F.lit(0))
-        return sizes & (differ <= MOST_BITS)
-
-    return near
-
-
-def _confirm(docs: DataFrame, size: int, percent: int):
-    """Of pairs (a, b) those whose full sets are similar; the sets are made anew from the texts."""
+def _sets_of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """(id, shingles) of the documents with these ids, made anew from the texts."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets, counts = _sets(batch.column("text").to_pylist(), size)
         offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
         return pa.record_batch([batch.column("id"), pa.ListArray.from_arrays(offsets, pa.array(sets.view(np.int64)))], ["id", "shingles"])
 
+    return map_slices(restrict(docs, ids, "id", "left_semi"), work, "id bigint, shingles array<bigint>")
+
+
+def _confirm(docs: DataFrame, size: int, percent: int):
+    """Of pairs (a, b) those whose full sets are similar."""
+
     def confirm(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
-        texts = restrict(docs, ids, "id", "left_semi")
-        sets = materialize(map_slices(texts, work, "id bigint, shingles array<bigint>"), "sets")
+        sets = materialize(_sets_of(docs, ids, size), "sets")
         both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
         common = F.size(F.array_intersect("x", "y"))
         return both.filter(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b").distinct()
@@ -130,6 +126,17 @@ def _confirm(docs: DataFrame, size: int, percent: int):
     return confirm
 
 
+def _alone(docs: DataFrame, size: int):
+    """(id, own): how many shingles of a document none of the others given has."""
+
+    def alone(ids: DataFrame) -> DataFrame:
+        parts = _sets_of(docs, ids, size).select("id", F.explode("shingles").alias("part"))
+        single = parts.groupBy("part").agg(F.min("id").alias("id"), F.count("*").alias("n")).filter("n = 1")
+        return single.groupBy("id").agg(F.count("*").alias("own"))
+
+    return alone
+
+
 def components(df: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, percent: int = SIMILAR_PERCENT) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of ``df``."""
     if percent < SIMILAR_PERCENT:
@@ -138,11 +145,14 @@ def components(df: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, p
     sketches = materialize(_sketches(docs, size), "sketches")
     facts = [c for c in sketches.columns if c not in ("id", "set_a", "set_b")]
     classes = sketches.filter("id is not null and n > 0").groupBy("set_a", "set_b").agg(F.min(F.struct("id", *facts)).alias("x"))
-    classes = materialize(classes.select("set_a", "set_b", "x.*"), "classes")
+    classes = materialize(classes.select("set_a", "set_b", "x.*"), "classes", release=True)
     # A smaller set than this cannot be similar to another one without being equal to it.
     least = ceil(percent / (100 - percent)) if percent < 100 else 1 << 62
-    roots = link(classes.filter(F.col("n") >= least).drop("set_a", "set_b"), F.col("bands"), _near(percent), _confirm(docs.filter("id is not null"), size, percent))
-    of_class = materialize(classes.join(roots, "id", "left").select("set_a", "set_b", F.coalesce("root", "id").alias("root")), "of_class")
+    near = Near("n", percent, tuple(f"bits{i}" for i in range(BITS // 64)), MOST_BITS)
+    named = docs.filter("id is not null")
+    facts = classes.filter(F.col("n") >= least).drop("set_a", "set_b")
+    roots = link(facts, F.col("bands"), near, _confirm(named, size, percent), _alone(named, size))
+    of_class = materialize(classes.join(roots, "id", "left").select("set_a", "set_b", F.coalesce("root", "id").alias("root")), "of_class", release=True)
     discard(classes)
     rows = sketches.select("id", "n", "set_a", "set_b").join(of_class, ["set_a", "set_b"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("root", "id"))
