@@ -128,4 +128,40 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+#: The same in SQL. The other operators train, walk a tree, tokenize, hash or search by means that
+#: SQL does not have; their tests compare with brute force, round trips or held-out rows.
+ORACLES: dict[str, str] = {
+    "op3_token_rollup": r"""
+WITH c AS (SELECT doc_id, source, lang, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[#*$%&]{3}', '', 'g') AS p FROM documents),
+n AS (SELECT source, lang, 'words-1' AS tokenizer, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS old, len(regexp_extract_all(p, '[^\x20\x09-\x0D]+')) AS new FROM c
+      UNION ALL SELECT source, lang, 'pieces-1', len(regexp_extract_all(t, '\p{L}+|\p{N}+|[^\x20\x09-\x0D\p{L}\p{N}]+')), len(regexp_extract_all(p, '\p{L}+|\p{N}+|[^\x20\x09-\x0D\p{L}\p{N}]+')) FROM c)
+SELECT source, lang, tokenizer, count(*)::BIGINT AS n_docs, sum(new)::BIGINT AS n_tokens FROM n WHERE new >= 20 GROUP BY ALL""",
+    "op6_minhash_near_dedup": r"""
+WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) WHEN len(w) = 1 THEN w ELSE []::VARCHAR[] END) AS g FROM w),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS MATERIALIZED (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+edge AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT doc_id AS id, doc_id AS root FROM documents UNION SELECT e.b, r.root FROM reach r JOIN edge e ON e.a = r.id WHERE r.root < e.b)
+SELECT d.doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(r.root) AS component_id, d.doc_id = min(r.root) AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN reach r ON r.id = d.doc_id GROUP BY d.doc_id""",
+    "op7_pfair_mix": r"""
+WITH RECURSIVE c AS (SELECT '=' || source AS s, source, count(*) AS n FROM documents GROUP BY source),
+t AS (SELECT *, power(n, 0.7) / sum(power(n, 0.7)) OVER () * greatest(1000 - count(*) OVER (), 0) AS exact, count(*) OVER () AS sources FROM c),
+f AS (SELECT *, floor(exact) AS whole, greatest(1000 - sources, 0) - sum(floor(exact)) OVER () AS open FROM t),
+a AS (SELECT s, source, n, (1 + whole + CASE WHEN row_number() OVER (ORDER BY round(exact - whole, 9) DESC, s) <= open THEN 1 ELSE 0 END)::BIGINT AS share FROM f),
+l AS (SELECT list(share ORDER BY s) AS shares, sum(share)::BIGINT AS period FROM a),
+run AS (SELECT 0::BIGINT AS t, list_transform(shares, lambda x: 0::BIGINT) AS done, NULL::BIGINT AS pick FROM l
+  UNION ALL SELECT t + 1, list_transform(done, lambda d, i: d + CASE WHEN i = p THEN 1 ELSE 0 END), p FROM (
+    SELECT t, done, list_min(list_transform(list_filter(range(1, len(shares) + 1), lambda i: done[i] < shares[i] AND (done[i] * period) // shares[i] <= t),
+      lambda i: {'d': ((done[i] + 1) * period + shares[i] - 1) // shares[i], 'i': i})).i AS p FROM run, l WHERE t < period)),
+k AS (SELECT t - 1 AS slot, pick, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS k FROM run WHERE pick IS NOT NULL),
+o AS (SELECT *, row_number() OVER (ORDER BY s) AS i FROM a),
+plan AS (SELECT o.s, o.share, k.k, k.slot FROM k JOIN o ON o.i = k.pick),
+b AS (SELECT doc_id, source, '=' || source AS s, (row_number() OVER (PARTITION BY source ORDER BY md5(doc_id::VARCHAR)) - 1) // 8 AS block FROM documents),
+ends AS (SELECT min((ceil(n / 8)::BIGINT // a.share) * period + slot) AS exact, sum(ceil(n / 8))::BIGINT AS alls FROM a JOIN plan p ON p.s = a.s AND p.k = ceil(n / 8)::BIGINT % a.share, l)
+SELECT doc_id, source, p.share, period, block, (block * period) // p.share AS release, ((block + 1) * period + p.share - 1) // p.share AS deadline,
+  (block // p.share) * period + p.slot AS slot, (block // p.share) * period + p.slot < alls AS in_mix, (block // p.share) * period + p.slot < exact AS exact
+FROM b JOIN plan p ON p.s = b.s AND p.k = block % p.share, l, ends""",
+}

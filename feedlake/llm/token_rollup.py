@@ -41,12 +41,13 @@ def between(old: DataFrame, new: DataFrame, id_col: str) -> DataFrame:
     Ids are unique per tokenizer in each list.
     """
     on = [id_col, *KEYS]
-    a = old.select(*on, F.col("n_tokens").alias("old_tokens"), F.lit(True).alias("was"))
-    b = new.select(*on, F.col("n_tokens").alias("new_tokens"), F.lit(True).alias("now"))
-    same = [a[c].eqNullSafe(b[c]) for c in on]
-    both = a.join(b, same, "full")
+    was = old.select(*[F.col(c).alias(f"old_{c}") for c in on], F.col("n_tokens").alias("old_tokens"), F.lit(True).alias("was"))
+    now = new.select(*[F.col(c).alias(f"new_{c}") for c in on], F.col("n_tokens").alias("new_tokens"), F.lit(True).alias("now"))
+    same = [F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}")) for c in on]
+    both = was.join(now, same, "full")
     change = F.when(F.col("was").isNull(), "insert").when(F.col("now").isNull(), "delete").otherwise("revise")
-    rows = both.select(change.alias("change"), *[F.coalesce(a[c], b[c]).alias(c) for c in KEYS], "old_tokens", "new_tokens")
+    keys = [F.coalesce(f"old_{c}", f"new_{c}").alias(c) for c in KEYS]
+    rows = both.select(change.alias("change"), *keys, "old_tokens", "new_tokens")
     return rows.filter("change <> 'revise' or not old_tokens <=> new_tokens")
 
 

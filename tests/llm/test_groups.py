@@ -1,0 +1,331 @@
+"""Operators that bring rows together, against brute force."""
+
+import hashlib
+import itertools
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from feedlake.llm import cross_polytope, fingerprint, line_dedup, linking, minhash_oph, pfair, token_rollup
+from feedlake.session import work_path
+
+
+class Union:
+    def __init__(self):
+        self.up = {}
+
+    def root(self, x):
+        self.up.setdefault(x, x)
+        while self.up[x] != x:
+            x = self.up[x]
+        return x
+
+    def join(self, a, b):
+        a, b = sorted((self.root(a), self.root(b)))
+        self.up[b] = a
+
+
+# --- groups ----------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("edges", [[], [(1, 1)], [(i, i + 1) for i in range(12)], [(50, 1), *[(1, i) for i in range(2, 30)]],
+                                   [(random.Random(i).randrange(30), random.Random(-i).randrange(30)) for i in range(25)]])
+def test_connected(spark, edges):
+    want = Union()
+    for a, b in edges:
+        want.join(a, b)
+    found = linking.connected(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r.id: r.root for r in found} == {x: want.root(x) for x in list(want.up) if want.root(x) != x}
+    assert len(found) == len({r.id for r in found})
+
+
+def test_a_crowded_key_loses_no_link(spark):
+    """Ids in a row, each linked to the next one only, all under one key: no star finds those links."""
+    rows = [(i, 100, (1 << (i % 60)) | (1 << ((i + 1) % 60))) for i in range(40)]
+    facts = spark.createDataFrame(rows, "id long, n long, bits long")
+    near = linking.Near("n", 80, ("bits",), 2)
+    roots = linking.link(facts, F.array(F.lit(7).cast("long")), near, lambda pairs: pairs.filter("b - a = 1"))
+    assert {r.id: r.root for r in roots.collect()} == {i: 0 for i in range(1, 40)}
+
+
+# --- near-duplicates -------------------------------------------------------------------------
+
+
+def shingle_set(text, size):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    if len(words) < size:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+def brute_components(rows, size):
+    sets, found = {i: shingle_set(t, size) for i, t in rows}, Union()
+    for a, b in itertools.combinations(sets, 2):
+        common = len(sets[a] & sets[b])
+        if common and 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+            found.join(a, b)
+    return {i: (len(s), found.root(i)) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_components_are_those_of_all_pairs(spark, sf_dir, size):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    draw = random.Random(size)
+    # A group around the threshold: copies of one text with some of its words changed.
+    words = [f"w{i}" for i in range(60)]
+    for i in range(60):
+        text = [w if draw.random() > 0.03 else w + "x" for w in words]
+        rows.append((1000 + i, " ".join(text)))
+    rows += [(2000, "Same TEXT"), (2001, "same\ttext\n"), (2002, "É a"), (2003, "é a"), (2004, "one"), (2005, "a b c d e"), (2006, "a b c d e f")]
+    found = minhash_oph.components(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", size).collect()
+    want = brute_components(rows, size)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == want
+    assert all(r.kept == (r.doc_id == want[r.doc_id][1]) for r in found)
+
+
+def test_one_of_each_group_is_kept(spark):
+    rows = [(5, "a b c d e f g", "q"), (None, "a b c d e f g", "q"), (3, None, ""), (3, "a", ""), (7, "A b c d e f g", None), (9, "", ""), (9, "", "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    kept = minhash_oph.keep_one(df, "doc_id", "text")
+    assert kept.columns == df.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "5", "9", "None"]
+    assert minhash_oph.keep_one(df.limit(0), "doc_id", "text").isEmpty()
+    with pytest.raises(ValueError):
+        minhash_oph.components(df, "doc_id", "text", percent=50)
+
+
+# --- lines ------------------------------------------------------------------------------------
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def brute_lines(spark, rows):
+    places = []
+    for i, text in rows:
+        for p, line in enumerate((text or "").split("\n")):
+            plain = " ".join(re.sub(r"[^\w]|_", " ", line.lower()).split())
+            if plain:
+                places.append((i is None, i or 0, p, plain))
+    words = sorted({w for x in places for w in x[3].split()})
+    hashes = {r.w: r.h for r in spark.createDataFrame([(w,) for w in words], "w string").withColumn("h", F.xxhash64("w")).collect()}
+    classes = {}
+    for *_, plain in places:
+        own = [hashes[w] for w in plain.split()]
+        classes[plain] = sum(1 << k for k in range(64) if 2 * sum((h >> k) & 1 for h in own) > len(own))
+    found = Union()
+    for a, b in itertools.combinations(classes, 2):
+        if (classes[a] ^ classes[b]).bit_count() <= 3 and 100 * min(len(a), len(b)) >= 90 * max(len(a), len(b)):
+            if edit_distance(a, b) <= int(0.1 * max(len(a), len(b)) + 1e-9):
+                found.join(a, b)
+    seen, gone = set(), defaultdict(set)
+    for late, i, p, plain in sorted(places):
+        if found.root(plain) in seen:
+            gone[None if late else i].add(p)
+        seen.add(found.root(plain))
+    return {i: t if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone[i]) for i, t in rows}
+
+
+def test_lines_are_those_of_all_pairs(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("n_chars < 1500").limit(60).collect()
+    rows = [(r.doc_id, r.text) for r in docs]
+    long_lines = [x for _, t in rows for x in t.split("\n") if len(x.split()) > 50][:8]
+    draw, n = random.Random(4), 1000
+    for line in long_lines:
+        for _ in range(5):
+            words = line.split()
+            at = draw.randrange(len(words))
+            words[at] += draw.choice("abc")
+            rows.append((n, f"own line {n}\n{' '.join(words)}\n\nend"))
+            n += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_lines(spark, rows)
+    for agree in (2, 3):
+        found = line_dedup.dedup(df, "doc_id", "text", agree=agree).collect()
+        assert {r.doc_id: r.text for r in found} == want
+    assert all(r._n_lines - r._n_removed == len(want[r.doc_id].split("\n")) for r in found if want[r.doc_id])
+
+
+def test_odd_lines(spark):
+    rows = [(5, "Hello World!\nfoo\n\nfoo", "q"), (None, "hello, world", "q"), (3, None, ""), (4, "", ""), (7, "foo\nbar", None),
+            (2, "\n\n..", ""), (2, "\n\n..", ""), (8, "long " * 30_000, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, pos string")
+    found = line_dedup.dedup(df, "doc_id", "text")
+    assert found.columns == ["doc_id", "text", "pos", "_n_lines", "_n_removed"]
+    got = sorted((r.doc_id or 99, r.text or "", r._n_removed) for r in found.collect())
+    assert got == [(2, "\n\n..", 0), (2, "\n\n..", 0), (3, "", 0), (4, "", 0), (5, "Hello World!\nfoo\n", 1), (7, "bar", 1), (8, "long " * 30_000, 0), (99, "", 1)]
+    assert line_dedup.dedup(df.limit(0), "doc_id", "text").isEmpty()
+
+
+def test_lines_run_without_python(spark, capsys):
+    docs = spark.createDataFrame([(1, 2, "a b")], "row long, id long, text string")
+    line_dedup.lines_of(docs).explain()
+    assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out)
+
+
+# --- fingerprints ------------------------------------------------------------------------------
+
+
+def test_fingerprints_follow_the_order_of_ids(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = sorted(((r.doc_id, r.text) for r in docs.collect()), reverse=True)
+    found = {r.doc_id: r for r in fingerprint.follow(docs, "doc_id", "text").collect()}
+    errors = []
+    for k, (i, text) in enumerate(rows):
+        after = rows[(k + 1) % len(rows)][1]
+        edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        assert (found[i].edited, found[i].n_chars) == (edited, len(text))
+        a, b = shingle_set(text, 5), shingle_set(edited, 5)
+        errors.append(found[i].near_edited - len(a & b) / len(a | b))
+    assert len(found) == len(rows) and abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.09
+
+
+def test_odd_fingerprints(spark):
+    rows = [(5, "a b c d e f g"), (None, "x"), (3, None), (3, "a"), (3, "b c"), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = fingerprint.follow(df, "doc_id", "text").collect()
+    assert [(r.doc_id, r.edited) for r in sorted(found, key=lambda r: (-(r.doc_id or -1), r.edited))] == [
+        (9, ""), (5, "a b c d"), (3, ""), (3, "a"), (3, "b x"), (None, "x")]
+    assert fingerprint.follow(df.limit(0), "doc_id", "text").isEmpty()
+    prints = {r.doc_id: r.fingerprint for r in fingerprint.fingerprint(df, "doc_id", "text").collect()}
+    assert prints[9] == "0" * 8 * fingerprint.VALUES
+    same = spark.createDataFrame([(prints[5], prints[5]), (prints[5], prints[9])], "a string, b string")
+    assert [r[0] for r in same.select(fingerprint.likeness(F.col("a"), F.col("b"))).collect()] == [1.0, 0.0]
+
+
+def test_long_texts_are_cut_without_loss(monkeypatch):
+    text = " ".join(f"w{i % 97}x{i % 13}" for i in range(4000))
+    whole = fingerprint.signatures([text, "a"])
+    monkeypatch.setattr(fingerprint, "BLOCK", 1000)
+    assert (fingerprint.signatures([text, "a"]) == whole).all()
+
+
+def test_similar_pairs_are_verified(spark):
+    words = [f"w{i}" for i in range(80)]
+    rows = [(1, " ".join(words)), (2, " ".join(words)), (3, " ".join([*words, "more"])), (4, " ".join(words[:40])), (5, None)]
+    found = fingerprint.similar_pairs(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()
+    assert [(r.left_id, r.right_id, round(r.jaccard, 3)) for r in found] == [(1, 3, round(76 / 77, 3))]
+
+
+# --- mixing ------------------------------------------------------------------------------------
+
+
+def test_no_source_is_a_block_off_its_weight(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
+    docs = docs.withColumn("lang", F.when(F.col("lang") != "es", F.col("lang"))).withColumn("mix", F.lit(1))
+    rows = pfair.mix(docs, "lang", "doc_id", block=2, period=20).collect()
+    assert len(rows) == docs.count() and {r.mix for r in rows} == {1}
+    slots = {r._mix.slot: (r.lang, r._mix) for r in rows}
+    done = defaultdict(int)
+    shares = {r.lang: r._mix.share / r._mix.period for r in rows}
+    exact = [s for s, (_, m) in slots.items() if m.exact]
+    assert sorted(exact) == list(range(len(exact))) and len(exact) > 20
+    for slot in range(len(exact)):
+        lang, m = slots[slot]
+        assert m.release <= slot < m.deadline
+        done[lang] += 1
+        assert all(abs(w * (slot + 1) - done[k]) < 1 for k, w in shares.items())
+    n_blocks = len({(r.lang, r._mix.block) for r in rows})
+    assert {m.in_mix for s, (_, m) in slots.items() if s < n_blocks} == {True}
+
+
+def test_given_weights(spark):
+    docs = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(40)] + [(None, None), (7, "b"), (7, "b")], "doc_id long, source string")
+    rows = pfair.mix(docs, "source", "doc_id", {"a": 3, "b": 1, "c": 5, "d": 0}, block=4).collect()
+    assert len(rows) == 43 and all((r._mix is None) == (r.source is None) for r in rows)
+    assert {r.source: r._mix.share for r in rows if r._mix} == {"a": 750, "b": 250}
+    assert pfair.mix(docs.limit(0), "source", "doc_id").isEmpty()
+
+
+# --- rollups ------------------------------------------------------------------------------------
+
+
+def test_rollup_follows_the_changes(spark):
+    draw = random.Random(1)
+    rollup = token_rollup.Rollup(spark, work_path(spark, "rollup"))
+    assert rollup.totals().isEmpty() and rollup.batches() == []
+    schema = "doc_id long, source string, lang string, tokenizer string, n_tokens long"
+    old = spark.createDataFrame([], schema)
+    for batch in range(3):
+        rows = [(i, draw.choice(["a", "b", None]), draw.choice(["x", None]), "t1", draw.randrange(9)) for i in range(60) if draw.random() < 0.6]
+        new = spark.createDataFrame(rows, schema)
+        changes = token_rollup.between(old, new, "doc_id")
+        assert rollup.commit(f"b{batch}", changes)
+        assert not rollup.commit(f"b{batch}", changes)
+        want = defaultdict(lambda: [0, 0])
+        for _, *key, n in rows:
+            want[tuple(key)][0] += 1
+            want[tuple(key)][1] += n
+        assert {(r.source, r.lang, r.tokenizer): [r.n_docs, r.n_tokens] for r in rollup.totals().collect()} == want
+        old = new
+    assert rollup.commit("gone", token_rollup.between(old, old.limit(0), "doc_id")) and rollup.totals().isEmpty()
+
+
+def test_unfinished_batch_is_replaced(spark):
+    path = work_path(spark, "rollup")
+    rollup = token_rollup.Rollup(spark, path)
+    one = spark.createDataFrame([("insert", "s", "en", "t", None, 5)], token_rollup.CHANGES)
+    token_rollup._sums(token_rollup.signed(one)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/batch=b1")
+    assert rollup.batches() == [] and rollup.totals().isEmpty()
+    assert rollup.commit("b1", one)
+    assert [tuple(r) for r in rollup.totals().collect()] == [("s", "en", "t", 1, 5)]
+    with pytest.raises(Exception, match="unknown change: drop"):
+        rollup.commit("b2", one.withColumn("change", F.lit("drop")))
+    assert rollup.batches() == ["b1"]
+
+
+# --- neighbours -----------------------------------------------------------------------------------
+
+
+def test_recall_and_exact_scores(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    vectors = {r.vec_id: np.array(r.embedding, float) for r in rows.collect()}
+    found = defaultdict(list)
+    for r in cross_polytope.neighbours(rows, "vec_id", "embedding", F.col("id") % 10 == 0).collect():
+        found[r.query_id].append((r["rank"], r.vec_id, r.score))
+    hits = 0
+    for query in (q for q in vectors if q % 10 == 0):
+        near = sorted((np.sqrt(np.square(v - vectors[query]).sum()), i) for i, v in vectors.items() if i != query)[:10]
+        got = sorted(found[query])
+        assert [r for r, *_ in got] == list(range(1, 11))
+        assert [(s, i) for _, i, s in got] == sorted((s, i) for _, i, s in got)
+        assert all(s == np.sqrt(np.square(vectors[i] - vectors[query]).sum()) for _, i, s in got)
+        hits += len({i for _, i in near} & {i for _, i, _ in got})
+    assert hits / (10 * len(found)) >= 0.9
+
+
+def test_odd_vectors(spark):
+    rows = [(0, [1.0, 0.0], "x"), (1, [1.0, 0.0], ""), (2, None, ""), (3, [0.0, 0.0], ""), (4, [float("nan"), 1.0], ""), (5, [1.0, None], ""), (6, [1.0, 1.0], ""),
+            (6, [1.0, 1.0], ""), (7, [float("inf"), 0.0], ""), (100, [1.0, 0.0], ""), (200, [0.0, 1.0, 2.0], ""), (None, [1.0, 0.0], "")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, bucket string")
+    found = cross_polytope.neighbours(df, "vec_id", "embedding", F.col("id") % 100 == 0)
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect())
+    assert got == [(0, 1, 1, 0.0), (0, 2, 100, 0.0), (0, 3, 6, 1.0), (100, 1, 0, 0.0), (100, 2, 1, 0.0), (100, 3, 6, 1.0)]
+    assert cross_polytope.neighbours(df.limit(0), "vec_id", "embedding", F.col("id") % 100 == 0).isEmpty()
+
+
+def test_copies_leave_room_for_the_smallest_ids(spark):
+    rows = [(i, [1.0, 2.0, 3.0]) for i in range(60)] + [(60 + i, [1.0, 2.0, 3.5 + i]) for i in range(5)]
+    found = cross_polytope.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding", F.col("id").isin(5, 62))
+    got = defaultdict(list)
+    for r in found.orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert got == {5: [0, 1, 2, 3, 4, 6, 7, 8, 9, 10], 62: [61, 63, 60, 64, 0, 1, 2, 3, 4, 5]}
+
+
+def test_the_transform_keeps_lengths():
+    x = np.random.default_rng(1).normal(size=(20, 48))
+    y = cross_polytope.rotate(x, 3) / 64**1.5
+    assert np.allclose((x**2).sum(axis=1), (y**2).sum(axis=1))
+    assert hashlib.sha256(cross_polytope.axes(x, 0, 3).tobytes()).digest() == hashlib.sha256(cross_polytope.axes(x, 0, 9)[:, :3].copy().tobytes()).digest()
