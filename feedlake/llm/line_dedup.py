@@ -28,6 +28,8 @@ from feedlake.session import discard, materialize
 
 DISTANCE = 3
 SIMILAR = 0.9
+#: Keys of 32 bits: 20 per class, and classes that are not alike hardly ever meet.
+AGREE = 3
 _PAIR = 0x0000000100000001
 
 
@@ -89,7 +91,7 @@ def _confirm(docs: DataFrame, classes: DataFrame, similar: float):
     return confirm
 
 
-def repeated_lines(df: DataFrame, id_col: str, text_col: str, similar: float = SIMILAR, agree: int = 2) -> DataFrame:
+def repeated_lines(df: DataFrame, id_col: str, text_col: str, similar: float = SIMILAR, agree: int = AGREE) -> DataFrame:
     """(row, gone): for each document that loses lines, a hash of its id and text, and their numbers."""
     docs = _rows(pick(df, id=id_col, text=text_col), "id", "text")
     lines = materialize(lines_of(docs), "lines", release=True)
@@ -113,7 +115,7 @@ def _rows(df: DataFrame, id_col: str, text_col: str, name: str = "row") -> DataF
     return df.withColumn(name, F.xxhash64(column(df, id_col), column(df, text_col)))
 
 
-def dedup(df: DataFrame, id_col: str, text_col: str, similar: float = SIMILAR, agree: int = 2) -> DataFrame:
+def dedup(df: DataFrame, id_col: str, text_col: str, similar: float = SIMILAR, agree: int = AGREE) -> DataFrame:
     """``df`` with the text without its repeated lines, and with ``_n_lines`` and ``_n_removed``."""
     gone = repeated_lines(df, id_col, text_col, similar, agree).toDF("_row", "_gone")
     size = gone.agg(F.coalesce(F.sum(4 * F.size("_gone") + 48), F.lit(0))).first()[0]

@@ -2,7 +2,7 @@
 
 Only DataFrame operations. Work grows with the members of a key, not with their square:
 
-1. Pairs: a key with two members needs no join, one aggregate holds all that is to be known of them.
+1. Pairs: a key with two members needs no join, an aggregate holds all that is to be known of them.
 2. Star: in a key with more members, each is compared with the smallest one.
 3. Keys whose members now all belong to one group are done.
 4. In the others a second star is drawn around a member chosen by a hash.
@@ -97,13 +97,15 @@ def link(
     for sets of ``near.size`` parts: (id, own) of given ids, the parts that none of the others has.
     """
     members = facts.select("id", *near.columns, F.explode(keys).alias("key"))
+    # Most keys have one member: a bare count finds the others, which are sent to the members if their size allows.
+    several = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    members = materialize(restrict(members, several, "key", "left_semi"), "members", release=True)
     counted = members.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"), *near.sums())
     met = counted.filter((F.col("n") > 2) | ((F.col("n") == 2) & near.of_sums()))
-    met = materialize(met.select("key", "first", "last", "n"), "met", release=True)
-    crowded = met.filter("n > 2")
-    # Few keys have three members or more: those are sent to the members if their size allows.
-    shared = restrict(members, crowded, "key", "left_semi").join(crowded.select("key", "first"), "key")
+    met = materialize(met.select("key", "first", "last", "n"), "met")
+    shared = members.join(met.filter("n > 2").select("key", "first"), "key")
     shared = materialize(shared, "shared", release=True)
+    discard(members)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         pairs = materialize(pairs.distinct(), "pairs")
