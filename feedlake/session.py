@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,11 +31,12 @@ def build_session(app: str = "feedlake", shuffle_partitions: int = 2000, **conf)
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (a local test run) is a temporary one made.
+    Only where the session names none and all of it runs in one process (a local test run) is a
+    temporary one made.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="feedlake-")
         spark.sparkContext.setCheckpointDir(named)
