@@ -43,9 +43,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix, in its order; what a source has beyond its target weight stays out."""
-    mixed = pfair.mix(docs, "source", "doc_id", power=MIX_POWER)
-    mixed = mixed.filter("_mix.in_mix").orderBy("_mix.slot", "doc_id")
+    """All documents, in the order of their slots: the weights say where a document comes, not whether."""
+    mixed = pfair.mix(docs, "source", "doc_id", power=MIX_POWER).orderBy("_mix.slot", "doc_id")
     return mixed.select([column(mixed, c) for c in docs.columns])
 
 

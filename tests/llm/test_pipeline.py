@@ -78,3 +78,12 @@ def test_run_is_the_stages_in_a_row(spark, sf_dir):
     for r in found:
         ids = real.encode_ordinary(texts[r.doc_id])
         assert (r.n_tokens, r.decoded_sha256) == (len(ids), hashlib.sha256(texts[r.doc_id].encode()).hexdigest())
+
+
+def test_mixing_keeps_every_document(spark, sf_dir):
+    rows = [(i, "t", "en", "hot" if i < 200 else f"s{i % 29}", 1) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline.mix_sources(spark, docs, sf_dir).collect()
+    assert sorted(r.doc_id for r in found) == list(range(600))
+    # What a source has beyond its weight comes last: the rest is through before it is.
+    assert {r.source for r in found[-8:]} == {"hot"}
