@@ -248,6 +248,19 @@ def test_given_weights(spark):
     assert pfair.mix(docs.limit(0), "source", "doc_id").isEmpty()
 
 
+def test_weights_hold_for_many_sources(spark):
+    rows = [(i, "hot" if i < 500 else f"s{i}") for i in range(1600)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    found = pfair.mix(docs, "source", "doc_id", power=0.9).collect()
+    weights = {"hot": 500**0.9} | {s: 1 for _, s in rows[500:]}
+    assert len(found) == 1600 and len(weights) == 1101
+    for r in found:
+        target, m = weights[r.source] / sum(weights.values()), r._mix
+        assert abs(m.share / m.period - target) <= target / 50 + 2 / m.period
+        assert m.release <= m.slot < m.deadline
+    assert len({r._mix.slot for r in found}) == len({(r.source, r._mix.block) for r in found})
+
+
 # --- rollups ------------------------------------------------------------------------------------
 
 
