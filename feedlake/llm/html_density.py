@@ -53,6 +53,8 @@ NAMED = set(
     "share sharing social related recommended recommendations popular trending more teaser teasers widget widgets popup modal overlay skip tags".split()
 )
 HOLDS = {"article", "main", "h1"}
+#: Those of them that name what readers say: an article element in there is one reader's.
+TALK = set("comment comments commentlist disqus respond replies reply discussion".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?/][^a-zA-Z>][^>]*>|<[!?][^>]*>|</>"
@@ -69,7 +71,8 @@ class Page:
     """The tree of a page as parallel lists, parents before children."""
 
     def __init__(self, html: str):
-        self.parent, self.tag, self.named = [-1], ["#root"], [False]
+        #: ``named``: 0, 1 for something other than an article, 2 for readers' comments, 3 for what is hidden.
+        self.parent, self.tag, self.named = [-1], ["#root"], [0]
         #: (node, block, text) in page order.
         self.texts: list[tuple[int, int, str]] = []
         self._read(html)
@@ -127,17 +130,14 @@ class Page:
             stack.append(node)
 
 
-def _says(attrs: str) -> bool:
-    """Whether the attributes name the element as something other than an article."""
+def _says(attrs: str) -> int:
+    """Whether the attributes name the element as something other than an article (1), comments above all (2); 3 if hidden."""
     if "=" not in attrs and "hidden" not in attrs:
-        return False
+        return 0
     if _HIDDEN.search(attrs):
-        return True
-    for m in _NAME.finditer(attrs):
-        for word in _WORD.findall(m[1] or m[2] or m[3] or ""):
-            if word.lower() in NAMED:
-                return True
-    return False
+        return 3
+    words = {word.lower() for m in _NAME.finditer(attrs) for word in _WORD.findall(m[1] or m[2] or m[3] or "")}
+    return 2 if words & TALK else int(not words.isdisjoint(NAMED))
 
 
 def densities(page: Page, out: list[bool]) -> tuple[list[float], list[float]]:
@@ -175,21 +175,48 @@ def main_blocks(html: str | None) -> list[str]:
     """The blocks of the main text, white space folded, in page order."""
     page = Page(html or "")
     parent, tag, n = page.parent, page.tag, len(page.tag)
-    # What says it is something else is out, unless it holds the article, or most of the text of a page without one.
-    size = [0] * n
+    # What says it is something else is out, unless it holds the article. Where its place tells
+    # nothing (inside the article or main, or on a page without), only what is small or mostly links.
+    named = [page.named[i] if tag[i] not in ("html", "body", "main") and tag[i] not in HEADINGS else 0 for i in range(n)]
+    size, linked, plain = [0] * n, [0] * n, [0] * n
+    talk, link, title = [False] * n, [False] * n, [False] * n
+    for i in range(1, n):
+        talk[i] = talk[parent[i]] or named[i] == 2
+        link[i] = link[parent[i]] or tag[i] == "a"
+        title[i] = title[parent[i]] or tag[i] in HEADINGS
     for node, _, text in page.texts:
-        size[node] += sum(map(len, text.split()))
-    holds = [t in HOLDS for t in tag]
+        words = sum(map(len, text.split()))
+        size[node] += words
+        linked[node] += words * link[node]
+        plain[node] += words * (not title[node])
+    # An article element with a name counts where it has the title.
+    titled = [t == "h1" for t in tag]
+    for i in range(n - 1, 0, -1):
+        titled[parent[i]] |= titled[i]
+    marks = [tag[i] in HOLDS and not talk[i] and not (tag[i] == "article" and named[i] and not titled[i]) for i in range(n)]
+    if not any(marks):
+        marks = [tag[i] in HOLDS and named[i] < 2 and not talk[parent[i]] for i in range(n)]
+    if not any(marks):
+        marks = [t in HOLDS for t in tag]
+    holds = list(marks)
     for i in range(n - 1, 0, -1):
         if tag[i] not in RAW and tag[i] not in OUTSIDE:
-            size[parent[i]] += size[i]
-            holds[parent[i]] |= holds[i]
-    out, within = [False] * n, [False] * n
+            up = parent[i]
+            size[up] += size[i]
+            linked[up] += linked[i]
+            plain[up] += plain[i]
+            holds[up] |= holds[i]
+    semantic = [marks[i] and tag[i] != "h1" for i in range(n)]
+    elsewhere = any(semantic[i] and plain[i] for i in range(n))
+    out, within, inner = [False] * n, [False] * n, [False] * n
     for i in range(1, n):
         within[i] = within[parent[i]] or tag[i] in ("article", "main")
-        named = page.named[i] and tag[i] not in ("html", "body", "article", "main") and tag[i] not in HEADINGS
+        inner[i] = inner[parent[i]] or semantic[i]
+        # Beside the article its place tells; what is said by readers is no article wherever one is.
+        sure = (elsewhere and not inner[i]) or (named[i] == 2 and holds[0]) or named[i] == 3
+        veto = named[i] and not holds[i] and (sure or 2 * size[i] < size[0] or 2 * linked[i] > size[i])
         header = tag[i] == "header" and not within[i]
-        out[i] = out[parent[i]] or tag[i] in OUTSIDE or header or (named and not holds[i] and (holds[0] or 2 * size[i] < size[0]))
+        out[i] = out[parent[i]] or tag[i] in OUTSIDE or header or bool(veto)
     density, sums = densities(page, out)
     best = max(range(n), key=lambda i: (sums[i], -i))
     if sums[best] <= 0:

@@ -107,6 +107,25 @@ def test_main_text_of_pages(body):
     assert html_density.main_blocks(PAGE.format(body.format(*ARTICLE))) == WANT
 
 
+LONG = "A sentence of the article that has quite some words in it. "
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='elementor-widget-heading'><h1>T</h1></div><div class='elementor-widget-container'><p>{}</p></div>",
+        "<main><h1>T</h1><div class='elementor-widget-container'><p>{}</p></div></main>",
+        "<article class='post'><h1>T</h1><div class='more widget'><p>{}</p></div></article>",
+        "<article><h1>T</h1><p>{}</p></article><div class='comments'><article class='comment-body'><p>{}</p></article><article><p>{}</p></article></div>",
+        "<div class='has-sidebar'><article><h1>T</h1><p>{}</p></article><div id='comments'><article class='comment-body'><p>{}</p></article></div></div>",
+        "<article class='tags-on'><h1>T</h1><p>{}</p></article><article class='related teaser'><p>{}</p></article>",
+    ],
+)
+def test_names_do_not_decide_alone(page):
+    said = ["A reader's words about it, many more of them than the article itself has. " * 20] * 2
+    assert html_density.main_blocks("<body>" + page.format(LONG * 8, *said) + "</body>")[-1] == (LONG * 8).strip()
+
+
 def test_density_alone_finds_the_article():
     links = "".join(f"<li><a href=/{i}>entry {i}</a></li>" for i in range(30))
     paragraphs = "".join(f"<p>{'some words of the article ' * 8}{i}</p>" for i in range(5))
