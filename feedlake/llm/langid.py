@@ -119,8 +119,8 @@ class Model:
         total = np.add.reduceat(scores, begin, axis=0)
         best = total.argmax(axis=1)
         path = np.repeat(best, count)
-        # Where no stretch gains more than the penalty by another language, one language is the
-        # best path. Stretches are differences of running sums; a step down between texts keeps
+        # Where no stretch gains more than half the penalty by another language, one language is the
+        # best path: m stretches cost m - 1 switches, which is half a switch each at least. Stretches are differences of running sums; a step down between texts keeps
         # the running minimum of a text apart from those before it.
         nth = np.repeat(np.arange(len(begin)), count)
         own = scores[np.arange(len(path)), path]
@@ -131,7 +131,7 @@ class Model:
             step = float(np.abs(after).max()) * 2 + 1
             before = after - gain - nth * step
             stretch = after - nth * step - np.minimum.accumulate(before)
-            mixed |= np.maximum.reduceat(stretch, begin) > switch
+            mixed |= np.maximum.reduceat(stretch, begin) > switch / 2
         for i in np.flatnonzero(mixed):
             a = begin[i]
             path[a : a + count[i]] = viterbi(scores[a : a + count[i]], switch)

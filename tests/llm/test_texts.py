@@ -191,6 +191,21 @@ def test_one_language_shortcut_equals_viterbi():
         assert abs(value(path) - value(langid.viterbi(scores, 6.0))) < 1e-9
 
 
+def test_two_short_languages_are_not_a_third():
+    import numpy as np
+
+    draw = random.Random(5)
+    cases = [np.array([[5.0, -100, 0], [-100, 5, 0]])]
+    cases += [np.array([[draw.choice([5, -100, 0, 3]) for _ in range(4)] for _ in range(draw.randrange(2, 7))], float) for _ in range(300)]
+    for scores in cases:
+        n, k = scores.shape
+        words = langid.Words(*[np.zeros(n, int)] * 2, np.ones(n, int), np.arange(n), np.zeros(n, int), np.zeros(n, int))
+        model = langid.Model(list("abcd"[:k]), np.zeros((1, k)), np.ones((len(langid.SCRIPT_NAMES), k), bool))
+        model.words = lambda _, s=scores: s.copy()
+        value = lambda p: sum(scores[i, k] for i, k in enumerate(p)) - 6.0 * sum(a != b for a, b in zip(p, p[1:], strict=False))  # noqa: E731, B023
+        assert value(model.paths(words, 6.0).tolist()) == value(langid.viterbi(scores, 6.0))
+
+
 # --- tokens ----------------------------------------------------------------------------------
 
 FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
