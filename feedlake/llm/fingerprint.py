@@ -11,6 +11,7 @@ alike among each other (1.0) and unlike all others (0.0); equal texts have equal
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,8 @@ def _family(values: int) -> tuple[np.ndarray, np.ndarray]:
 #: Texts are taken in blocks of so many characters; a longer one is cut into runs of words that
 #: overlap by a shingle, whose least values are merged.
 BLOCK = 400_000
+#: Words as shingles have them: other white space is part of a word.
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def _pieces(texts: list[str], size: int) -> Iterator[tuple[list[int], list[str]]]:
@@ -47,7 +50,7 @@ def _pieces(texts: list[str], size: int) -> Iterator[tuple[list[int], list[str]]
     for i, text in enumerate(texts):
         parts = [text]
         if len(text) > 2 * BLOCK:
-            words, step = text.split(), BLOCK // 8
+            words, step = _WORD.findall(text), BLOCK // 8
             parts = [" ".join(words[k : k + step + size - 1]) for k in range(0, max(len(words) - size + 1, 1), step)]
         for part in parts:
             if block and held + len(part) > BLOCK:

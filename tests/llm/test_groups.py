@@ -211,6 +211,14 @@ def test_long_texts_are_cut_without_loss(monkeypatch):
     assert (fingerprint.signatures([text, "a"]) == whole).all()
 
 
+def test_long_texts_are_cut_at_the_same_signs(monkeypatch):
+    signs = ["\u00a0", "\u3000", "\u0085", "\x1c", "\x1f", " ", "\t"]
+    text = " ".join(f"w{i % 97}{signs[i % 7]}x{i % 13}" for i in range(4000))
+    whole = fingerprint.signatures([text])
+    monkeypatch.setattr(fingerprint, "BLOCK", 1000)
+    assert (fingerprint.signatures([text]) == whole).all()
+
+
 def test_similar_pairs_are_verified(spark):
     words = [f"w{i}" for i in range(80)]
     rows = [(1, " ".join(words)), (2, " ".join(words)), (3, " ".join([*words, "more"])), (4, " ".join(words[:40])), (5, None)]
