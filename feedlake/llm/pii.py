@@ -210,6 +210,9 @@ AT = ["at", "arobase", "arroba", "ät"]
 DOT = ["dot", "point", "punkt", "punto"]
 TOP_LEVEL = "com org net edu gov mil int info biz io co ai app dev me tv eu us uk de fr es it nl be ch at ca au in jp br ru pl se no fi dk pt ie mx test example invalid localhost".split()
 
+# The other country codes, and generic ones that are in wide use.
+MORE_TOP_LEVEL = "ac ad ae af ag al am ao aq ar as aw ax az ba bb bd bf bg bh bi bj bm bn bo bs bt bw by bz cc cd cf cg ci ck cl cm cn cr cu cv cw cx cy cz dj dm do dz ec ee eg er et fj fk fm fo ga gd ge gf gg gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id il im iq ir is je jm jo ke kg kh ki km kn kp kr kw ky kz la lb lc li lk lr ls lt lu lv ly ma mc md mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw my mz na nc ne nf ng ni np nr nu nz om pa pe pf pg ph pk pm pn pr ps pw py qa re ro rs rw sa sb sc sd sg sh si sk sl sm sn so sr ss st su sv sx sy sz tc td tf tg th tj tk tl tm tn to tr tt tw tz ua ug uy uz va vc ve vg vi vn vu wf ws ye yt za zm zw xyz online site shop store tech cloud blog club page news live pro name mobi asia cat jobs travel museum coop aero post tel xxx top vip wiki world email agency digital media studio design art space website host press eus gal bzh wales scot berlin hamburg koeln paris london wien tirol swiss nyc tokyo arpa onion local".split()
+
 
 @cache
 def _fold(char: str) -> str | None:
@@ -285,16 +288,22 @@ _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _WRAPPED_AT = re.compile(rf"\x20{{0,2}}{_OPEN}\x20?(?:{_AT}|@)\x20?{_CLOSE}\x20{{0,2}}|(?<=[A-Za-z0-9])[_*-]{{1,2}}(?:{_AT})[_*-]{{1,2}}(?=[A-Za-z0-9])|&#0*64;|&commat;|%40")
 _WRAPPED_DOT = re.compile(rf"\x20{{0,2}}{_OPEN}\x20?(?:{_DOT}|\.)\x20?{_CLOSE}\x20{{0,2}}|(?<=[A-Za-z0-9])[_*-]{{1,2}}(?:{_DOT})[_*-]{{1,2}}(?=[A-Za-z0-9])|&#0*46;|&period;")
 _SEP_DOT = rf"(?:\.|\x20\.\x20|\x20{{1,2}}(?:{_DOT})\x20{{1,2}})"
-_LAST = rf"(?:{'|'.join(TOP_LEVEL)})(?![A-Za-z0-9-])"
+#: Behind "dot", which hardly ever is prose there, the last label may be any known one; the other words are prose too.
+_LAST = rf"(?:{_SEP_DOT}(?:{'|'.join(TOP_LEVEL)})|\x20{{1,2}}dot\x20{{1,2}}(?:{'|'.join(MORE_TOP_LEVEL)}))(?![A-Za-z0-9-])"
 #: name at host dot com: bare words count only with all of it, down to a known last label.
 _BARE = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:{_SEP_DOT}[A-Za-z0-9_%+-]+){{0,3}}"
+    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:{_SEP_DOT}[A-Za-z0-9_%+-]+)*"
     rf"(?P<at>\x20{{1,2}}(?:{_AT})\x20{{1,2}}|\x20?@\x20?)"
-    rf"[A-Za-z0-9-]+(?:{_SEP_DOT}[A-Za-z0-9-]+){{0,3}}?{_SEP_DOT}{_LAST}",
+    rf"[A-Za-z0-9-]+(?:{_SEP_DOT}[A-Za-z0-9-]+)*{_LAST}",
 )
-_SPACED_AT = re.compile(rf"\x20?@\x20?(?=[A-Za-z0-9-]+(?:{_SEP_DOT}[A-Za-z0-9-]+){{0,3}}?{_SEP_DOT}{_LAST})")
+_SPACED_AT = re.compile(rf"\x20?@\x20?(?=[A-Za-z0-9-]+(?:{_SEP_DOT}[A-Za-z0-9-]+)*{_LAST})")
 _BARE_DOT = re.compile(rf"\x20{{1,2}}(?:{_DOT})\x20{{1,2}}|\x20\.\x20")
-_DOTTED = re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:{_SEP_DOT}[0-9]{{1,3}}){{3}}(?![0-9.])")
+_DOTTED = re.compile(rf"(?<![0-9.])[0-9]{{1,3}}(?:{_SEP_DOT}[0-9]{{1,3}}){{3}}(?![0-9]|\.[0-9])")
+_ITEM_OF_QUAD = rf"(?:\b(?:{_DIGIT_WORD})\b|[0-9])"
+_PART = rf"{_ITEM_OF_QUAD}(?:\x20?{_ITEM_OF_QUAD}){{0,2}}"
+#: Four numbers with dots between them; ``fold_quads`` wants a word for a digit among them.
+_QUAD = re.compile(rf"(?<![A-Za-z0-9.])({_PART})({_SEP_DOT})({_PART})({_SEP_DOT})({_PART})({_SEP_DOT})({_PART})(?![A-Za-z0-9]|\.[A-Za-z0-9])")
+_DIGIT_BY_DOT = re.compile(rf"(?:{_DIGIT_WORD})(?=\.[a-z0-9]|\x20\.\x20|\x20{{1,2}}(?:{_DOT})\x20)|(?:[0-9a-z]\.|\x20\.\x20|\x20(?:{_DOT})\x20{{1,2}})(?:{_DIGIT_WORD})\b")
 _HINT_AT = re.compile(rf"[@%;]|(?:{_AT})[\])}}>_*\x20-]|&commat")
 _HINT_DOT = re.compile(rf"(?:{_DOT})[\])}}>_*\x20-]|&#0*46;|&period;|[\[({{<]\x20?\.")
 _BARE_AT = re.compile(rf"\x20{{1,2}}(?:{_AT})\x20")
@@ -305,6 +314,31 @@ _LOCAL_START = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]")
 NEAR = 253
 
 
+def fold_quads(text: str) -> list[Piece]:
+    """Words for digits in a whole dotted quad, however few digits it has."""
+    text, out = same_length_lower(text), []
+    if not _DIGIT_BY_DOT.search(text):
+        return out
+    for found in _QUAD.finditer(text):
+        pieces, numbers = [], []
+        for group in range(1, 8):
+            a, b = found.span(group)
+            if group % 2 == 0:
+                pieces.append((a, b, "."))
+                continue
+            items = [_ITEM.match(text, a)]
+            while items[-1].end() < b:
+                end = items[-1].end()
+                items.append(_ITEM.match(text, end) or _ITEM.match(text, end + 1))
+                pieces += [(end, items[-1].start(), "")] * (items[-1].start() > end)
+            digits = [DIGIT_OF.get(x.group(), x.group()) for x in items]
+            pieces += [(x.start(), x.end(), d) for x, d in zip(items, digits, strict=True) if d != x.group()]
+            numbers.append(int("".join(digits)))
+        if max(numbers) <= 255 and any(len(x) > 1 for x in _ITEM.findall(found.group())):
+            out += [p for p in pieces if text[p[0] : p[1]] != p[2]]
+    return out
+
+
 def fold_at_dot(text: str) -> list[Piece]:
     """Words and signs that stand for @ and for a dot."""
     text, out = same_length_lower(text), []
@@ -381,7 +415,7 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
     """What the transducers bring to light and no base span of the same kind overlaps."""
     steps: list[Rewritten] = []
     now = text
-    for transduce in (fold_chars, fold_digits, fold_at_dot):
+    for transduce in (fold_chars, fold_quads, fold_digits, fold_at_dot):
         pieces = transduce(now) if transduce is not fold_chars or not now.isascii() else []
         if pieces:
             steps.append(Rewritten(now, pieces))

@@ -61,6 +61,25 @@ def test_disguises_map_back_to_the_source(text, before):
     assert [[pii.KINDS[k], (before + text)[a:b]] for k, a, b in spans] == [DISGUISED[text]]
 
 
+WHOLE = {
+    "10.0.zero.one": "ip", "one nine two dot one six eight dot one dot one": "ip", "192 dot one six 8 dot 0 dot zero": "ip", "١٠ dot ٠ dot ٠ dot ١": "ip",
+    "li at host dot cn": "email", "jan at mail dot posta dot cz": "email", "kim at host dot xyz": "email", "a at b dot co dot za": "email",
+    "a.b.c.d.e.f at host dot com": "email", "me at a dot b dot c dot d dot e dot f dot com": "email",
+}
+
+
+@pytest.mark.parametrize("text", WHOLE)
+def test_whole_disguises(text):
+    for before, after in (("", ""), ("it is: ", "."), ("é ", ", he said")):
+        full = before + text + after
+        assert [(pii.KINDS[k], full[a:b]) for k, a, b in pii.added_spans(full, pii.base_spans(full))] == [(WHOLE[text], text)]
+
+
+@pytest.mark.parametrize("text", ["he is at this point so tired", "one. two. three. four.", "one dot two dot three", "three hundred. one dot 256 dot 1 dot one", "1.2.3.4"])
+def test_prose_is_no_disguise(text):
+    assert pii.added_spans(text, pii.base_spans(text)) == []
+
+
 @pytest.mark.parametrize(
     "text",
     ["", "look at the polka dot dress. he is at home point blank", "one two three four five", "we met @ home. It was late",
