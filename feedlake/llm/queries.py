@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.llm import bpe, cross_polytope, fingerprint, html_density, langid, line_dedup, minhash_oph, pfair, pii, token_rollup
+from feedlake.llm import (
+    bpe, cross_polytope, fingerprint, hard_negatives, html_density, infill, langid, line_dedup, minhash_oph, pfair, pii, rendezvous, token_rollup,
+)
 from feedlake.llm.rows import hash_text
 from feedlake.session import materialize, work_path
 
@@ -74,6 +76,7 @@ TOKENIZERS = {"words-1": WORD, "pieces-1": PIECE}
 #: Signs that a later clean-up of the texts takes out.
 DECORATION = r"[#*$%&]{3}"
 LEAST_TOKENS = 20
+SHARDS = 24
 
 
 def op3_token_rollup(spark, sf_dir):
@@ -120,11 +123,31 @@ def op9_nearest_neighbours(spark, sf_dir):
     return cross_polytope.neighbours(rows, "vec_id", "embedding", F.col("id") % 100 == 0)
 
 
+def op11_rendezvous_shards(spark, sf_dir):
+    """24 shards of one weight; the slot of a document is its number in its shard."""
+    docs = _table(spark, sf_dir, "documents")
+    found = rendezvous.numbered(rendezvous.sizes(docs, "doc_id", "text", [1.0] * SHARDS, grown=1.0))
+    return found.withColumnRenamed("key", "doc_id").withColumn("law", F.lit("key"))
+
+
+def op12_hard_negatives(spark, sf_dir):
+    """Some labels are moved first, so that near rows of other labels are there."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label, F.col("id") % 100 == 0)
+
+
+def op13_fill_in_middle(spark, sf_dir):
+    found = infill.restore(infill.transform(_table(spark, sf_dir, "documents"), "doc_id", "text"))
+    digests = [hash_text(F.col(c)).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return found.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_pii, op2_html_extraction, op3_token_rollup, op4_fuzzy_line_dedup, op5_language_id, op6_minhash_near_dedup,
         op7_pfair_mix, op8_byte_bpe, op9_nearest_neighbours, op10_document_fingerprints,
+        op11_rendezvous_shards, op12_hard_negatives, op13_fill_in_middle,
     )
 }
 
@@ -164,4 +187,31 @@ ends AS (SELECT min((ceil(n / 8)::BIGINT // a.share) * period + slot) AS exact,
 SELECT doc_id, source, p.share, period, block, (block * period) // p.share AS release, ((block + 1) * period + p.share - 1) // p.share AS deadline,
   (block // p.share) * period + p.slot AS slot, (block // p.share) * period + p.slot < alls AS in_mix, (block // p.share) * period + p.slot < exact AS exact
 FROM b JOIN plan p ON p.s = b.s AND p.k = block % p.share, l, ends""",
+    "op11_rendezvous_shards": r"""
+WITH RECURSIVE bits AS (SELECT i AS b, 0 AS step, i::BIGINT AS c FROM range(256) r(i)
+  UNION ALL SELECT b, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE step < 8),
+crc AS MATERIALIZED (SELECT list(c ORDER BY b) AS t FROM bits WHERE step = 8),
+d AS MATERIALIZED (SELECT coalesce(doc_id::VARCHAR, '') AS k, doc_id, (octet_length(encode(coalesce(text, ''))) + 8)::BIGINT AS size,
+  xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT), lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8), 4294967295::BIGINT), 4294967295) AS text_crc32 FROM documents, crc),
+s AS (SELECT k, i, -ln((('0x' || substr(md5(k || ':' || i), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496) AS score FROM (SELECT DISTINCT k FROM d), range(25) r(i)),
+a AS (SELECT k, arg_min(i, (score, i)) FILTER (i < 24)::INTEGER AS shard, arg_min(i, (score, i))::INTEGER AS grown_shard FROM s GROUP BY k),
+p AS (SELECT doc_id, size, text_crc32, shard, grown_shard, (row_number() OVER (PARTITION BY doc_id, size, text_crc32) - 1) // 65536 AS piece FROM d JOIN a USING (k))
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+  row_number() OVER (PARTITION BY shard ORDER BY md5(concat_ws(':', coalesce(doc_id::VARCHAR, ''), size, text_crc32, shard, grown_shard, piece))) - 1 AS slot FROM p""",
+    "op12_hard_negatives": r"""
+WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id))::INTEGER AS rank, s.id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) <= 5""",
+    "op13_fill_in_middle": r"""
+WITH h AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+g AS (SELECT *, ('0x' || substr(x, 1, 8))::BIGINT % (n + 1) AS a, ('0x' || substr(x, 9, 8))::BIGINT % (n + 1) AS b, ('0x' || substr(x, 17, 8))::BIGINT % 100 AS c, ('0x' || substr(x, 25, 8))::BIGINT % 100 AS d FROM h),
+f AS (SELECT *, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90 THEN 'plain' WHEN d < 20 THEN 'spm' ELSE 'psm' END AS form FROM g),
+o AS (SELECT *, substr(t, 1, least(a, b)) AS p, substr(t, least(a, b) + 1, abs(a - b)) AS m, substr(t, greatest(a, b) + 1) AS s FROM f)
+SELECT doc_id, n::BIGINT AS n, form, (CASE WHEN form <> 'plain' THEN least(a, b) END)::BIGINT AS prefix_chars, (CASE WHEN form <> 'plain' THEN abs(a - b) END)::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM o""",
 }

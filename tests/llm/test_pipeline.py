@@ -21,7 +21,8 @@ def as_rows(names, rows):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, sf_dir, name):
     with duckdb.connect() as con:
-        con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_dir}/documents.parquet')")
+        for table in ("documents", "embeddings"):
+            con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
         want = con.execute(ORACLES[name])
         got = QUERIES[name](spark, sf_dir)
         names = [c[0] for c in want.description]
