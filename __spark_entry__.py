@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 from importlib import import_module
-from importlib.util import find_spec
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -319,17 +318,46 @@ def _loose_items(spark: SparkSession, sf_dir: str) -> str:
         F.lit("</link><host>&unknown; x</host><description><![CDATA[<b>a & b&nbsp;</b>]]></description></item >"),
     )
     landing = work_path(spark, "loose")
-    lines = rows.select(item.alias("item"), F.date_format("ts", FEED_FILE).alias("record_source"))
-    plain = {"extension": "xml", "quote": "\u0000", "sep": "\u0001", "ignoreLeadingWhiteSpace": "false"}
-    lines.write.partitionBy("record_source").options(**plain).csv(landing)
+    _land_text(rows.select(item.alias("item"), F.date_format("ts", FEED_FILE).alias("record_source")), landing)
     return landing
 
 
+def _land_text(lines: DataFrame, landing: str) -> None:
+    """The text column of ``lines`` as it is, in a folder per ``record_source``."""
+    plain = {"extension": "xml", "quote": "\u0000", "sep": "\u0001", "ignoreLeadingWhiteSpace": "false"}
+    lines.write.mode("append").partitionBy("record_source").options(**plain).csv(landing)
+
+
 def scan_lenient_xml(spark, sf_dir):
     found = feeds.scan_feeds(spark, _loose_items(spark, sf_dir))
     return found.select("title", "guid", "link", "host", "description", PERMALINK, "_corrupt_record", "record_source")
 
 
+def scan_hidden_xml(spark, sf_dir):
+    """Each item hides tags of items in CDATA and in a comment, and holds an element whose name begins like theirs."""
+    rows = _table(spark, sf_dir, "events")
+    item = F.concat(
+        F.lit("<item><itemized>1</itemized><!-- <item> --><title>"), F.col("event_type"), F.lit("</title><guid>"), F.col("event_id").cast("string"),
+        F.lit("</guid><description><![CDATA[<item>--> <!-- user "), F.col("user_id").cast("string"), F.lit(" & </item>]]></description></item>"),
+    )
+    landing = work_path(spark, "hidden")
+    _land_text(rows.select(item.alias("item"), F.date_format("ts", FEED_FILE).alias("record_source")), landing)
+    return feeds.scan_feeds_exact(spark, landing).select("title", "guid", "description", "_corrupt_record", "record_source")
+
+
+def whole_feed_status(spark, sf_dir):
+    """Landed feeds; by the day of the month, an error page, a feed cut short or one without items lies beside them."""
+    items = _event_items(spark, sf_dir)
+    landing = _landed(spark, items)
+    days = _table(spark, sf_dir, "events").select(F.to_date("ts").alias("day")).distinct()
+    kind = F.day("day") % 4
+    extra = F.when(kind == 0, "<html><h1>502 Bad Gateway</h1></html>").when(kind == 1, "<rss><channel><item><title>cut</title></item>")
+    added = days.select(extra.otherwise("<rss><channel></channel></rss>").alias("text"), F.date_format("day", FEED_FILE).alias("record_source"))
+    _land_text(added, landing)
+    read = silver.judge_items(feeds.scan_feeds(spark, landing, None, True))
+    return feeds.file_status(read, F.col("_corrupt_record").isNotNull()).select("record_source", "n_items", "n_bad", "n_unsound")
+
+
 def feed_to_silver(spark, sf_dir):
     landing = _landed(spark, _event_items(spark, sf_dir))
     return silver.feed_to_silver(feeds.scan_feeds(spark, landing), LOAD_DATE)
@@ -476,9 +504,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _corpus() -> tuple[dict[str, Callable], dict[str, str]]:
     """Queries and SQL of the corpus operators, where that subpackage is there."""
-    if not (find_spec("feedlake.llm") and find_spec("corpus_pipeline")):
+    try:
+        corpus_pipeline, llm = import_module("corpus_pipeline"), import_module("feedlake.llm.queries")
+    except ImportError:
         return {}, {}
-    corpus_pipeline, llm = import_module("corpus_pipeline"), import_module("feedlake.llm.queries")
     sql = dict(llm.ORACLES)
     if corpus_pipeline.ORACLE_SQL:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
@@ -498,7 +527,7 @@ def oracle_sql() -> dict[str, str]:
 def feed_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries of the feed pipeline."""
     listed = [
-        list_pending_files, scan_feed_xml, scan_feed_xml_whole, scan_lenient_xml, scan_silver, scan_silver_typed,
+        list_pending_files, scan_feed_xml, scan_feed_xml_whole, scan_lenient_xml, scan_hidden_xml, whole_feed_status, scan_silver, scan_silver_typed,
         merge_first_run, scan_mirror, event_titles, adhoc_sql_by_date,
         silver_snapshot_roundtrip, mirror_apply, mirror_deletes, pending_minus_ledger,
         titles_json, catalog_schema_merge, csv_roundtrip,
@@ -610,6 +639,10 @@ def feed_sql() -> dict[str, str]:
             event_id::VARCHAR AS guid, 'https://feed.example.org/?a=1&b=' || user_id AS link,
             '&unknown; x' AS host, '<b>a & b&nbsp;</b>' AS description,
             false AS guid_is_permalink, NULL::VARCHAR AS _corrupt_record, {_FEED} AS record_source FROM events""",
+        "scan_hidden_xml": f"""SELECT event_type AS title, event_id::VARCHAR AS guid, '<item>--> <!-- user ' || user_id || ' & </item>' AS description,
+            NULL::VARCHAR AS _corrupt_record, {_FEED} AS record_source FROM events""",
+        "whole_feed_status": f"""SELECT record_source, count(*) + (day % 4 = 1)::BIGINT AS n_items, 0::BIGINT AS n_bad, (day % 4 IN (0, 1))::BIGINT AS n_unsound
+            FROM (SELECT {_FEED} AS record_source, day(ts) AS day FROM events) GROUP BY record_source, day""",
         "feed_to_silver": _SILVER_SQL,
         "scan_silver": _SILVER_SQL,
         "scan_silver_typed": _SILVER_SQL,

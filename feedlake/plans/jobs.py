@@ -14,7 +14,7 @@ from feedlake.operators.sync import DELETE, PUT, KeyedStore, push_plan, removed_
 from feedlake.plans.silver import clean_items, is_bad, judge_items
 from feedlake.schemas import KEY, OPEN_SILVER, SILVER
 from feedlake.session import discard, materialize
-from feedlake.sources.feeds import archive_feeds, list_feeds, pending_feeds, scan_feeds, scan_feeds_whole
+from feedlake.sources.feeds import archive_feeds, file_status, list_feeds, pending_feeds, scan_feeds, scan_feeds_exact
 from feedlake.sources.tables import SnapshotTable, append_ledger, publish, read_ledger
 
 PROCESSED, REJECTED, SKIPPED = "processed", "rejected", "skipped"
@@ -74,50 +74,48 @@ class SyncReport:
     mirror_version: int
 
 
-def _scan(spark: SparkSession, landing: str, pending: DataFrame, files: DataFrame) -> DataFrame:
+def _scan(spark: SparkSession, landing: str, pending: DataFrame, files: DataFrame, marks: bool = False) -> DataFrame:
     """Items of the given files, by the reader that each of them needs.
 
     Spark's readers take path names on the driver: one per snapshot, however many parts it has.
     """
-    wanted = pending.join(files.select("record_source", "whole"), "record_source")
-    rows = wanted.select("whole", F.explode("snapshots").alias("below")).distinct().collect()
-    split = [row.below for row in rows if not row.whole]
-    whole = [row.below for row in rows if row.whole]
-    if not whole:
-        return scan_feeds(spark, landing, split)
+    wanted = pending.join(files.select("record_source", "hidden"), "record_source")
+    rows = wanted.select("hidden", F.explode("snapshots").alias("below")).distinct().collect()
+    split = [row.below for row in rows if not row.hidden]
+    hidden = [row.below for row in rows if row.hidden]
+    if not hidden:
+        return scan_feeds(spark, landing, split, marks)
     if not split:
-        return scan_feeds_whole(spark, landing, whole)
-    return scan_feeds(spark, landing, split).unionByName(scan_feeds_whole(spark, landing, whole))
+        return scan_feeds_exact(spark, landing, hidden, marks)
+    return scan_feeds(spark, landing, split, marks).unionByName(scan_feeds_exact(spark, landing, hidden, marks))
 
 
 def _checked(spark: SparkSession, landing: str, pending: DataFrame, files: DataFrame) -> DataFrame:
-    items = judge_items(_scan(spark, landing, pending, files))
-    counted = items.groupBy("record_source").agg(
-        F.count("*").alias("n_items"),
-        F.count_if(is_bad()).alias("n_bad"),
-        (F.bool_or("unsplittable") & F.bool_and("is_utf8")).alias("again"),
-    )
-    found = materialize(files.join(counted, "record_source", "full"), "checked")
+    items = judge_items(_scan(spark, landing, pending, files, True))
+    found = materialize(files.join(file_status(items, is_bad()), "record_source", "full"), "checked")
     # A file that was read under a name nobody asked for would leave another one looking empty.
-    strange = found.filter("whole is null").first()
+    strange = found.filter("hidden is null").first()
     if strange:
         raise ValueError(f"items of {strange.record_source!r}, which is not among the files to be read")
-    return found.na.fill(0, ["n_items", "n_bad"]).na.fill(False, ["again"])
+    counts = found.na.fill(0, ["n_items", "n_bad", "n_unsound"]).na.fill(False, ["again"])
+    # A file that is no whole feed, or of no bytes, counts like a bad item.
+    return counts.withColumn("n_bad", F.col("n_bad") + F.col("n_unsound") + F.col("n_empty")).drop("n_unsound")
 
 
 def check_feeds(spark: SparkSession, landing: str, pending: DataFrame) -> DataFrame:
-    """One row per pending file: ``n_items``, ``n_bad`` and whether it has to be read ``whole``.
+    """One row per pending file: ``n_items``, ``n_bad`` and whether it has ``hidden`` items.
 
     One pass over all items. Files that the splitting scan cannot cut right are then read
-    again by the whole-file reader. Files without items are in the result too.
+    again by the exact reader. Files without items are in the result too. A file without the root of a feed,
+    or without its end, is bad: an error page, a feed cut short, nothing at all.
     """
-    names = pending.select("record_source", "state").withColumn("whole", F.lit(False))
+    names = pending.select("record_source", "state", "n_empty").withColumn("hidden", F.lit(False))
     checked = _checked(spark, landing, pending, names)
-    again = checked.filter("again").select("record_source", "state", F.lit(True).alias("whole"))
-    checked = checked.filter(~F.col("again"))
+    again = checked.filter("again").select("record_source", "state", "n_empty", F.lit(True).alias("hidden"))
+    done = checked.filter(~F.col("again"))
     if not again.isEmpty():
-        checked = checked.unionByName(_checked(spark, landing, pending, again))
-    return checked.drop("again")
+        done = done.unionByName(_checked(spark, landing, pending, again))
+    return done.drop("again", "n_empty")
 
 
 def _folded(lake: Lake, landing: str, pending: DataFrame, files: DataFrame, load_date: str) -> DataFrame:

@@ -55,8 +55,8 @@ def stream_feeds(
     )
 
     def apply(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            apply_landed()
+        # Also where the batch shows no rows: a file of no bytes has none, and has to be judged.
+        apply_landed()
 
     return (
         files.writeStream.foreachBatch(apply)
