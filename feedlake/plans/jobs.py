@@ -6,16 +6,18 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.operators.merge import fold_snapshots
+from feedlake.operators.keyed import restrict
+from feedlake.operators.merge import fold_snapshots, merge_dealt, merge_snapshot
 from feedlake.operators.sync import DELETE, PUT, KeyedStore, push_plan, removed_rows
 from feedlake.plans.silver import clean_items, is_bad, judge_items
 from feedlake.schemas import KEY, OPEN_SILVER, SILVER
-from feedlake.session import discard, materialize
+from feedlake.session import materialize, work_tables
 from feedlake.sources.feeds import archive_feeds, file_status, list_feeds, pending_feeds, scan_feeds, scan_feeds_exact
-from feedlake.sources.tables import SnapshotTable, append_ledger, publish, read_ledger
+from feedlake.sources.parts import PartTable, Synced, by_date
+from feedlake.sources.tables import BucketedTable, SnapshotTable, append_ledger, publish, read_ledger
 
 PROCESSED, REJECTED, SKIPPED = "processed", "rejected", "skipped"
 MIRROR_ORDER = ["start_date", "start_time", KEY]
@@ -35,11 +37,27 @@ class Lake:
     #: Names in the catalog that ``run`` keeps at the latest versions.
     silver_name: str | None = None
     mirror_name: str | None = None
+    #: Files that silver is dealt out to by key; None: as they come.
+    buckets: int | None = None
+    #: Whether the mirror is kept as ``ranges`` and ``by_date``, of which a sync writes what changed.
+    deltas: bool = False
 
     @property
     def silver(self) -> SnapshotTable:
+        if self.buckets:
+            return BucketedTable(self.spark, f"{self.root}/silver", SILVER, KEY, self.buckets)
         return SnapshotTable(self.spark, f"{self.root}/silver", SILVER)
 
+    @property
+    def ranges(self) -> PartTable:
+        """The mirror in folders by range of the key."""
+        return PartTable(self.spark, f"{self.root}/ranges", SILVER)
+
+    @property
+    def by_date(self) -> PartTable:
+        """The rows of the mirror that have a date and a time, in folders by date."""
+        return PartTable(self.spark, f"{self.root}/by_date", SILVER, part=by_date())
+
     @property
     def mirror(self) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/mirror", SILVER)
@@ -69,9 +87,11 @@ class IngestReport:
 
 @dataclass(frozen=True)
 class SyncReport:
+    """``n_put``: rows put, all there are or, with ``deltas``, those that were new or changed."""
+
     n_deleted: int
     n_put: int
-    mirror_version: int
+    mirror_version: int | None = None
 
 
 def _scan(spark: SparkSession, landing: str, pending: DataFrame, files: DataFrame, marks: bool = False) -> DataFrame:
@@ -131,7 +151,8 @@ def _folded(lake: Lake, landing: str, pending: DataFrame, files: DataFrame, load
         files, n_files = files.filter(F.col("record_source") == last), 1
     items = _scan(lake.spark, landing, pending, files)
     batch = clean_items(items, load_date, lake.guid_is_link).select(SILVER.names)
-    return fold_snapshots(late, batch, last, n_files)
+    merge = merge_dealt if lake.buckets else merge_snapshot
+    return fold_snapshots(late, lake.silver.dealt(batch), last, n_files, merge=merge)
 
 
 def ingest(
@@ -155,6 +176,11 @@ def ingest(
     The ledger is written last, and rows of a file that is loaded twice stay the same, so a
     run that died at any point can be repeated.
     """
+    with work_tables(lake.spark):
+        return _ingest(lake, landing, load_date, strict, allow_empty, listing, archive)
+
+
+def _ingest(lake: Lake, landing: str, load_date: str | None, strict: bool, allow_empty: bool, listing: DataFrame | None, archive: str | None) -> IngestReport:
     load_date = load_date or datetime.now(timezone.utc).isoformat()
     listing = list_feeds(lake.spark, landing) if listing is None else listing
     pending = materialize(pending_feeds(listing, lake.ledger()), "pending")
@@ -177,8 +203,6 @@ def ingest(
     if archive and counts:
         used = pending.join(files, "record_source", "left_semi").select(F.explode("snapshots").alias("below"))
         archive_feeds(lake.spark, landing, [row.below for row in used.collect()], archive)
-    discard(files)
-    discard(pending)
     if first_bad:
         raise FeedRejected(f"{first_bad}: bad items; stopped before it")
     return IngestReport(*[counts.get(s, 0) for s in (PROCESSED, REJECTED, SKIPPED)], version)
@@ -191,25 +215,51 @@ def sync_mirror(
 
     ``current``: the rows that the external store really holds, with their key at least. What it
     has beyond silver is deleted, also what no run of this job has put there. Without it the mirror
-    stands for the store. The delete set is written as a table first: it is counted, previewed and
-    sent from there.
+    stands for the store. The delete set is written as a table first: it is counted as it is written, and
+    previewed and sent from there. A lake with ``deltas`` compares, and writes and sends what changed.
     """
+    with work_tables(lake.spark):
+        if lake.deltas and current is None:
+            return _sync_changes(lake, open_store)
+        return _sync_all(lake, open_store, current)
+
+
+def _sync_all(lake: Lake, open_store: Callable[[], KeyedStore] | None, current: DataFrame | None) -> SyncReport:
     desired = lake.silver.read()
-    held = lake.mirror.read()
+    held = lake.ranges.read() if lake.deltas else lake.mirror.read()
     if current is not None:
         # Rows by the table's columns; those that the store does not have are NULL.
         has = set(current.columns)
         held = current.select(*[(F.col(f.name) if f.name in has else F.lit(None)).cast(f.dataType).alias(f.name) for f in SILVER])
     # Not under the declared schema, since a store may hold less than a whole row.
-    lake.removed.write(removed_rows(held, desired))
-    removed = lake.removed.read()
+    gone, put = Observation(), Observation()
+    lake.removed.write(removed_rows(held, desired), rows=gone)
+    if open_store:
+        plan = lake.removed.read().withColumn("op", F.lit(DELETE)).unionByName(desired.withColumn("op", F.lit(PUT)))
+        push_plan(plan, open_store)
+    if lake.deltas:
+        _sync_parts(lake, desired, lake.ranges.changes(desired))
+        return SyncReport(gone.get.get("n", 0), desired.count())
+    version = lake.mirror.write(desired, cluster_by=MIRROR_ORDER, rows=put)
+    return SyncReport(gone.get.get("n", 0), put.get.get("n", 0), version)
+
+
+def _sync_parts(lake: Lake, desired: DataFrame, changes: DataFrame) -> Synced:
+    synced = lake.ranges.sync(desired, changes)
+    lake.by_date.sync(desired.filter("start_date IS NOT NULL AND start_time IS NOT NULL"))
+    return synced
+
+
+def _sync_changes(lake: Lake, open_store: Callable[[], KeyedStore] | None) -> SyncReport:
+    desired = lake.silver.read()
+    changes = lake.ranges.changes(desired)
+    lake.removed.write(restrict(lake.ranges.read(), changes.filter(F.col("op") == DELETE), KEY, "left_semi"))
     if open_store:
-        plan = removed.withColumn("op", F.lit(DELETE)).unionByName(
-            desired.withColumn("op", F.lit(PUT))
-        )
+        put = restrict(desired, changes.filter(F.col("op") == PUT), KEY, "left_semi")
+        plan = lake.removed.read().withColumn("op", F.lit(DELETE)).unionByName(put.withColumn("op", F.lit(PUT)))
         push_plan(plan, open_store)
-    version = lake.mirror.write(desired, cluster_by=MIRROR_ORDER)
-    return SyncReport(removed.count(), desired.count(), version)
+    synced = _sync_parts(lake, desired, changes)
+    return SyncReport(synced.n_deleted, synced.n_put)
 
 
 def run(

@@ -5,9 +5,15 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths of the work tables made so far in the innermost ``work_tables``.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 
 # Settings for large inputs. AQE merges small shuffle partitions down to the advisory size,
 # so ``shuffle_partitions`` is an upper bound: input bytes over 200 MB is a good start.
@@ -56,6 +62,9 @@ def materialize(df: DataFrame, name: str = "cut", release: bool = False) -> Data
     driver has collected its garbage, which is asked for here rather than waited for.
     """
     path = work_path(df.sparkSession, name)
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     if release:
         df.sparkSession._jvm.java.lang.System.gc()
@@ -71,6 +80,26 @@ def discard(df: DataFrame) -> None:
     """
     path = vars(df).get("work_path")
     if path:
-        spark = df.sparkSession
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        delete_path(df.sparkSession, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder or file, by whatever file system it lies in; False if there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def work_tables(spark: SparkSession) -> Iterator[None]:
+    """Every work table that is made inside is deleted at the end, also after an error.
+
+    For jobs whose results are tables of their own: nothing lazy may be carried out of it.
+    """
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            delete_path(spark, path)

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date, datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from feedlake import schemas
 from feedlake.operators.retention import retention_tier
+from feedlake.session import delete_path
 
 
 def path_exists_or_empty(
@@ -64,28 +66,44 @@ class SnapshotTable:
         path = self.path
         if path is None:
             return self.spark.createDataFrame([], self.schema)
+        return self._load(path)
+
+    def _load(self, path: str) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(path)
 
-    def write(self, df: DataFrame, cluster_by: list[str] | None = None) -> int:
+    def _new_path(self, version: int) -> str:
+        return f"{self.root}/data/{version:08d}-{uuid.uuid4().hex[:8]}"
+
+    def _save(self, df: DataFrame, path: str) -> None:
+        df.write.parquet(path)
+
+    def dealt(self, df: DataFrame) -> DataFrame:
+        """``df`` laid out like the table's own rows, so that both meet without a further shuffle."""
+        return df
+
+    def write(self, df: DataFrame, cluster_by: list[str] | None = None, rows: Observation | None = None) -> int:
         """Write the next version, return its number.
 
         ``cluster_by`` sorts the table by range over all its files, so that a filter on those
         columns skips files and row groups by their statistics. Ranges cut through a value
         that holds much of the table as long as a later column still tells its rows apart.
         Finding the ranges reads ``df`` once more: let it come from a table.
+
+        ``rows`` gets the number of rows (``n``) from the write itself.
         """
         version = self._latest()[0] + 1
-        path = f"{self.root}/data/{version:08d}-{uuid.uuid4().hex[:8]}"
+        path = self._new_path(version)
         if cluster_by:
             df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-        df.write.parquet(path)
+        if rows:
+            df = df.observe(rows, F.count("*").alias("n"))
+        self._save(df, path)
         self._claim(version)
         row = (version, path, datetime.now(timezone.utc))
         commit = self.spark.createDataFrame([row], schemas.COMMIT)
         commit.write.mode("append").parquet(f"{self.root}/commits")
         return version
 
-
     def _claim(self, version: int) -> None:
         """Take the right to commit a version; raises if another writer, or a lost one, took it."""
         claim = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims/{version:08d}")
@@ -109,11 +127,54 @@ class SnapshotTable:
         old = commits.join(kept, "version", "left_anti").filter(F.col("version") != latest).collect()
         gone = 0
         for row in old:
-            place = self.spark._jvm.org.apache.hadoop.fs.Path(row.path)
-            gone += place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+            gone += delete_path(self.spark, row.path)
         return gone
 
 
+class BucketedTable(SnapshotTable):
+    """A snapshot table whose rows are dealt out to ``buckets`` files by a hash of ``key``, each sorted by it.
+
+    Spark knows the layout: a merge, a semi- or anti-join or a sync plan by ``key`` reads the table where
+    it lies, and only what comes new is shuffled (``dealt``); two such tables meet without any shuffle.
+    The number of buckets is part of the name of a version, so it may change from one to the next.
+
+    Spark keeps the layout in its catalog. So a table is named there for a moment, to write or to read a version, and the
+    name is dropped at once; files and plans outlive it.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: StructType = schemas.SILVER, key: str = schemas.KEY, buckets: int = 200):
+        super().__init__(spark, root, schema)
+        self.key, self.buckets = key, buckets
+
+    def _new_path(self, version: int) -> str:
+        return f"{super()._new_path(version)}-b{self.buckets}"
+
+    def dealt(self, df: DataFrame) -> DataFrame:
+        return df.repartition(self.buckets, self.key)
+
+    @contextmanager
+    def _named(self) -> Iterator[str]:
+        name = f"feedlake_{uuid.uuid4().hex}"
+        try:
+            yield name
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def _save(self, df: DataFrame, path: str) -> None:
+        with self._named() as name:
+            df.write.bucketBy(self.buckets, self.key).sortBy(self.key).option("path", path).saveAsTable(name)
+
+    def _load(self, path: str) -> DataFrame:
+        buckets = int(path.rpartition("-b")[2])
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
+        with self._named() as name:
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {buckets} BUCKETS LOCATION '{place}'"
+            )
+            return self.spark.table(name)
+
+
 class ConcurrentWrite(RuntimeError):
     """Another writer took the version first. Nothing was committed."""
 
