@@ -19,7 +19,9 @@ from feedlake.operators.keyed import restrict
 from feedlake.plans import jobs, silver
 from feedlake.schemas import PERMALINK, SILVER
 from feedlake.session import materialize, work_path
-from feedlake.sources import feeds, tables
+from feedlake.sources import feeds, parts, tables
+from feedlake.sources.folder_store import folder_store
+from feedlake.sources.store import register_store
 from feedlake.streaming.ingest import stream_feeds
 
 LOAD_DATE = "2024-02-01T00:00:00+00:00"
@@ -143,6 +145,36 @@ def mirror_apply(spark, sf_dir):
     return sync.apply_plan(current, plan, "user_id")
 
 
+def merge_bucketed(spark, sf_dir):
+    """``merge_snapshot`` over a table that lies dealt out by key: only the new day is shuffled."""
+    existing, new = _existing_and_new(spark, sf_dir)
+    before = latest.latest_per_key(existing, "user_id", _newest())
+    table = tables.BucketedTable(spark, work_path(spark, "bucketed"), before.schema, "user_id", buckets=8)
+    table.write(table.dealt(before))
+    return merge.merge_dealt(table.read(), table.dealt(new), "user_id", _newest()).select(ROW)
+
+
+def mirror_delta(spark, sf_dir):
+    """The second sync writes the folders in which a row changed."""
+    current, desired = _current_and_desired(spark, sf_dir)
+    table = parts.PartTable(spark, work_path(spark, "parts"), current.schema, "user_id", parts.by_range("user_id", 50))
+    table.sync(current)
+    table.sync(desired)
+    return table.read()
+
+
+def store_sync(spark, sf_dir):
+    """An external store, read and written as a data source; a folder in this process plays it."""
+    current, desired = _current_and_desired(spark, sf_dir)
+    place = work_path(spark, "store").removeprefix("file:")
+    name = f"store_{place.rpartition('-')[2]}"
+    register_store(spark, name, folder_store(place, "user_id"), current.schema, "user_id", ranges=8)
+    for wanted in (current, desired):
+        held = spark.read.format(name).load()
+        sync.sync_plan(held, wanted, "user_id").write.format(name).mode("append").save()
+    return spark.read.format(name).load()
+
+
 # --- one field at a time ----------------------------------------------------------------
 
 
@@ -390,6 +422,14 @@ def events_on_date(spark, sf_dir):
     return rows.select("event_id", "start_date", "start_time", "title")
 
 
+def events_by_date_index(spark, sf_dir):
+    """The same lookup in folders by date that syncs keep up; one of them is read."""
+    table = parts.PartTable(spark, work_path(spark, "by_date"), SILVER, part=parts.by_date())
+    table.sync(_silver(spark, sf_dir).filter("start_date IS NOT NULL AND start_time IS NOT NULL"))
+    rows = lookup.events_on_date(table.read_part(CUT.isoformat()), CUT)
+    return rows.select("event_id", "start_date", "start_time", "title")
+
+
 def adhoc_sql_by_date(spark, sf_dir):
     tables.publish(_stored(spark, sf_dir), "feedlake_silver")
     return spark.sql(
@@ -535,7 +575,7 @@ def feed_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         html_class_text, nfkc_text, record_source, feed_to_silver, snapshot_name,
         latest_per_key, latest_per_key_maxby, events_on_date, active_set_semi, removed_anti,
         distinct_keys, sync_counts, removed_preview, union_existing_new,
-        merge_snapshot, fold_snapshots, sync_plan, end_to_end_run,
+        merge_snapshot, merge_bucketed, fold_snapshots, sync_plan, mirror_delta, store_sync, events_by_date_index, end_to_end_run,
         file_atomic_valid, file_status, quality_flags, retention_tier, stream_ingest,
     ]
     return {query.__name__: query for query in listed}
@@ -648,8 +688,8 @@ def feed_sql() -> dict[str, str]:
         "scan_silver_typed": _SILVER_SQL,
         "scan_mirror": _SILVER_SQL,
         "silver_snapshot_roundtrip": _SILVER_SQL,
-        "events_on_date": f"""SELECT event_id, start_date, start_time, title FROM ({_SILVER_SQL})
-            WHERE start_date = DATE '{CUT}' AND start_time IS NOT NULL ORDER BY start_time""",
+        **dict.fromkeys(["events_on_date", "events_by_date_index"], f"""SELECT event_id, start_date, start_time, title FROM ({_SILVER_SQL})
+            WHERE start_date = DATE '{CUT}' AND start_time IS NOT NULL ORDER BY start_time"""),
         "adhoc_sql_by_date": f"""SELECT start_date, count(*) AS n_events,
             count(DISTINCT title) AS n_titles, min(start_time) AS first_time,
             max(end_time) AS last_end FROM ({_SILVER_SQL}) GROUP BY start_date""",
@@ -666,7 +706,7 @@ def feed_sql() -> dict[str, str]:
         "latest_per_key_maxby": f"{events_f} {_latest_sql('e')}",
         "merge_first_run": f"{events_f} {_latest_sql('e')}",
         "merge_snapshot": f"{mirror} SELECT * FROM des",
-        "mirror_apply": f"{mirror} SELECT * FROM des",
+        **dict.fromkeys(["mirror_apply", "merge_bucketed", "mirror_delta", "store_sync"], f"{mirror} SELECT * FROM des"),
         "fold_snapshots": f"""WITH {_E},
             early AS (SELECT * FROM e WHERE ts < DATE '{CUT}'),
             since AS (SELECT * FROM e WHERE ts >= DATE '{CUT}'),
