@@ -25,9 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.rows import SLICE_CHARS, column, map_slices, pick, same_length_lower
+from feedlake.llm.rows import column, map_slices, pick, same_length_lower
+from feedlake.operators.latest import free_name
 
 BUCKET_BITS = 15
+#: Letters that a task labels at a time: some ten numbers of 64 bits each are held for one.
+PREDICT_CHARS = 1_000_000
 SWITCH = 12.0
 #: What a word of a script costs a language that is not written in it.
 WRONG_SCRIPT = 30.0
@@ -240,8 +243,12 @@ def _labels(texts: list[str | None], model: Model | None, switch: float, spans:
     return lang, share.tolist()
 
 
-def predict(df: DataFrame, text_col: str, model: Model | None, switch: float = SWITCH) -> DataFrame:
-    """All columns of ``df`` with ``_lang_pred`` and ``_score``."""
+def predict(df: DataFrame, text_col: str, model: Model | None, switch: float = SWITCH, names: tuple[str, str] = ("_lang_pred", "_score")) -> DataFrame:
+    """All columns of ``df``, and two of the given names: language and score. A column that has such a name keeps it, and ours get a longer one; they are the last two.
+
+    The texts go through Python once, whatever is done with the result: it comes out of a generator, which no later
+    filter can be pulled through.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double")
@@ -250,10 +257,12 @@ def predict(df: DataFrame, text_col: str, model: Model | None, switch: float = S
         for t in [*text, None]:
             held.append(t)
             size += len(t or "")
-            if size > SLICE_CHARS or len(langs) + len(held) > len(text):
+            if size > PREDICT_CHARS or len(langs) + len(held) > len(text):
                 a, b = _labels(held, shared.value, switch)
                 langs, scores, held, size = langs + a, scores + b, [], 0
         return pd.DataFrame({"lang": langs[: len(text)], "score": scores[: len(text)]})
 
-    found = df.withColumn("_label", label(column(df, text_col)))
-    return found.withColumns({"_lang_pred": F.col("_label.lang"), "_score": F.col("_label.score")}).drop("_label")
+    lang = free_name(df.columns, names[0])
+    score = free_name([*df.columns, lang], names[1])
+    found = df.select(*[column(df, c) for c in df.columns], F.inline(F.array(label(column(df, text_col)))))
+    return found.toDF(*df.columns, lang, score)

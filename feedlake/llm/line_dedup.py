@@ -16,7 +16,8 @@ same id and text are one document and lose the same lines; rows without an id co
 
 from __future__ import annotations
 
-from itertools import combinations
+from functools import reduce
+from itertools import batched, combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,46 +25,71 @@ from pyspark.sql import functions as F
 from feedlake.llm.linking import Near, link
 from feedlake.llm.rows import column, pick
 from feedlake.operators.keyed import MAX_BROADCAST_BYTES, restrict
+from feedlake.operators.latest import free_name
 from feedlake.session import discard, materialize
 
 DISTANCE = 3
 SIMILAR = 0.9
 #: Keys of 32 bits: 20 per class, and classes that are not alike hardly ever meet.
 AGREE = 3
-_PAIR = 0x0000000100000001
+#: Choices of blocks whose keys are made, counted and discarded at a time.
+KEYS_AT_A_TIME = 4
+#: Characters, and so words, of a line up to which four counts of 14 bits fit into one long.
+FEW_CHARS = 16_000
 
 
 def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
-def simhash_of_words(hashes: Column) -> list[Column]:
-    """Sums that hold, over a group of words, the count of each bit: two counts in each long."""
-    return [F.sum(F.shiftright(hashes, k).bitwiseAND(F.lit(_PAIR))).alias(f"bits{k}") for k in range(32)]
+def _lanes(lanes: int) -> int:
+    """A long with a one in each of its ``lanes``."""
+    return sum(1 << (64 // lanes * i) for i in range(lanes))
 
 
-def _majority(words: Column) -> Column:
-    """The 64 bits that are set in more than half of the words."""
-    out = F.lit(0).cast("bigint")
-    for k in range(32):
-        for half, at in ((F.col(f"bits{k}").bitwiseAND(F.lit(0xFFFFFFFF)), k), (F.shiftrightunsigned(f"bits{k}", 32), k + 32)):
-            out = out.bitwiseOR(F.when(2 * half > words, F.lit(1 << at if at < 63 else -(1 << 63))).otherwise(F.lit(0).cast("bigint")))
-    return out
+def simhash_of_words(hashes: Column, lanes: int) -> list[Column]:
+    """Sums that hold, over a group of words, the count of each bit: ``lanes`` counts in each long."""
+    return [F.sum(F.shiftright(hashes, k).bitwiseAND(F.lit(_lanes(lanes)))).alias(f"bits{k}") for k in range(64 // lanes)]
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """A row per line with a word: row, id, pos, class keys k1 and k2, length and SimHash."""
-    lines = docs.select("row", "id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    lines = lines.select("row", "id", "pos", normalised(F.col("line")).alias("line")).filter("line <> ''")
-    lines = lines.select("row", "id", "pos", F.xxhash64("line").alias("k1"), F.xxhash64("line", F.lit(1)).alias("k2"), F.length("line").alias("n"), F.split("line", " ").alias("words"))
+def _majority(words: Column, lanes: int) -> Column:
+    """The 64 bits that are set in more than half of the words.
+
+    All counts of a long are compared at once: with what is added, the second bit from the top of a lane is
+    set where the count is above half, and the top one never is.
+    """
+    one, width = F.lit(_lanes(lanes)), 64 // lanes
+    added = one * (F.lit((1 << (width - 2)) - 1) - F.floor(words / 2))
+    above = [F.shiftleft(F.shiftright(F.col(f"bits{k}") + added, width - 2).bitwiseAND(one), k) for k in range(width)]
+    return reduce(Column.bitwiseOR, above)
+
+
+def _lines(docs: DataFrame, of: Column) -> DataFrame:
+    """Lines with a letter or digit of which ``of`` holds. Both tests are cheap, and on the line as it is."""
+    lines = docs.select("row", "id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).filter(of & F.col("line").rlike(r"[\p{L}\p{N}]"))
+    lines = lines.select("row", "id", "pos", normalised(F.col("line")).alias("line"))
+    return lines.select("row", "id", "pos", F.xxhash64("line").alias("k1"), F.xxhash64("line", F.lit(1)).alias("k2"), F.length("line").alias("n"), F.split("line", " ").alias("words"))
+
+
+def _simhashed(lines: DataFrame, lanes: int) -> DataFrame:
     words = lines.select("row", "id", "pos", "k1", "k2", "n", F.explode("words").alias("word"))
     hashed = words.withColumn("word", F.xxhash64("word"))
-    counts = hashed.groupBy("row", "id", "pos", "k1", "k2", "n").agg(F.count("*").alias("words"), *simhash_of_words(F.col("word")))
-    return counts.select("row", "id", "pos", "k1", "k2", "n", _majority(F.col("words")).alias("simhash"))
+    counts = hashed.groupBy("row", "id", "pos", "k1", "k2", "n").agg(F.count("*").alias("words"), *simhash_of_words(F.col("word"), lanes))
+    return counts.select("row", "id", "pos", "k1", "k2", "n", _majority(F.col("words"), lanes).alias("simhash"))
+
+
+def lines_of(docs: DataFrame) -> DataFrame:
+    """A row per line with a word: row, id, pos, class keys k1 and k2, length and SimHash.
+
+    Very long lines, which only very long texts can hold, are counted with wider counts.
+    """
+    few = _simhashed(_lines(docs, F.length("line") <= FEW_CHARS), lanes=4)
+    many = _simhashed(_lines(docs.filter(F.length("text") > FEW_CHARS), F.length("line") > FEW_CHARS), lanes=2)
+    return few.unionByName(many)
 
 
-def block_keys(simhash: Column, agree: int) -> Column:
-    """One key for each choice of ``agree`` of the blocks."""
+def block_keys(simhash: Column, agree: int) -> list[Column]:
+    """One key for each choice of ``agree`` of the blocks, in arrays of a few."""
     blocks = DISTANCE + agree
     cuts = [64 * i // blocks for i in range(blocks + 1)]
     keys = []
@@ -71,7 +97,7 @@ def block_keys(simhash: Column, agree: int) -> Column:
         mask = sum(((1 << cuts[i + 1]) - (1 << cuts[i])) for i in chosen)
         mask -= (mask >> 63) << 64
         keys.append(F.xxhash64(F.lit(len(keys)), simhash.bitwiseAND(F.lit(mask))))
-    return F.array(*keys)
+    return [F.array(*some) for some in batched(keys, KEYS_AT_A_TIME)]
 
 
 def _confirm(docs: DataFrame, classes: DataFrame, similar: float):
@@ -116,15 +142,18 @@ def _rows(df: DataFrame, id_col: str, text_col: str, name: str = "row") -> DataF
 
 
 def dedup(df: DataFrame, id_col: str, text_col: str, similar: float = SIMILAR, agree: int = AGREE) -> DataFrame:
-    """``df`` with the text without its repeated lines, and with ``_n_lines`` and ``_n_removed``."""
-    gone = repeated_lines(df, id_col, text_col, similar, agree).toDF("_row", "_gone")
-    size = gone.agg(F.coalesce(F.sum(4 * F.size("_gone") + 48), F.lit(0))).first()[0]
-    marked = _rows(df, id_col, text_col, "_row").join(F.broadcast(gone) if size <= MAX_BROADCAST_BYTES else gone, "_row", "left")
+    """``df`` with the text without its repeated lines, and as its last columns ``_n_lines`` and ``_n_removed``,
+    or free names like these where the table has such columns."""
+    row, lost = (free_name(df.columns, x) for x in ("_row", "_gone"))
+    gone = repeated_lines(df, id_col, text_col, similar, agree).toDF(row, lost)
+    size = gone.agg(F.coalesce(F.sum(4 * F.size(lost) + 48), F.lit(0))).first()[0]
+    marked = _rows(df, id_col, text_col, row).join(F.broadcast(gone) if size <= MAX_BROADCAST_BYTES else gone, row, "left")
     text = column(df, text_col)
     all_lines = F.split(text, "\n", -1)
-    numbers = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), "_gone")
+    numbers = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), lost)
     left = F.array_join(F.transform(numbers, lambda i: F.get(all_lines, i)), "\n")
-    removed = F.coalesce(F.size("_gone"), F.lit(0))
+    removed = F.coalesce(F.size(lost), F.lit(0))
     new = F.when(removed > 0, left).otherwise(text).alias(text_col)
-    counts = [F.coalesce(F.size(all_lines), F.lit(0)).alias("_n_lines"), removed.alias("_n_removed")]
+    n_lines = free_name(df.columns, "_n_lines")
+    counts = [F.coalesce(F.size(all_lines), F.lit(0)).alias(n_lines), removed.alias(free_name([*df.columns, n_lines], "_n_removed"))]
     return marked.select(*[new if c == text_col else column(df, c) for c in df.columns], *counts)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,27 +86,32 @@ def connected(edges: DataFrame) -> DataFrame:
 
 def link(
     facts: DataFrame,
-    keys: Column,
+    keys: Column | list[Column],
     near: Near,
     confirm: Callable[[DataFrame], DataFrame],
     alone: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(id, root) of all ids that are linked to a smaller one, directly or through others.
 
-    ``facts`` has a row per id, with the columns of ``near``; ``keys`` is an array of long per row.
+    ``facts`` has a row per id, with the columns of ``near``; ``keys`` is an array of long per row, or
+    several of them, of which one at a time is spread out.
     ``near`` rules pairs out cheaply, ``confirm`` keeps the true ones of pairs (a, b). ``alone``,
     for sets of ``near.size`` parts: (id, own) of given ids, the parts that none of the others has.
     """
-    members = facts.select("id", *near.columns, F.explode(keys).alias("key"))
-    # Most keys have one member: a bare count finds the others, which are sent to the members if their size allows.
-    several = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    members = materialize(restrict(members, several, "key", "left_semi"), "members", release=True)
+    found = []
+    for some in keys if isinstance(keys, list) else [keys]:
+        spread = facts.select("id", *near.columns, F.explode(some).alias("key"))
+        # Most keys have one member: a bare count finds the others, which are sent to the members if their size allows.
+        several = spread.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+        found.append(materialize(restrict(spread, several, "key", "left_semi"), "members", release=True))
+    members = reduce(DataFrame.unionByName, found)
     counted = members.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"), *near.sums())
     met = counted.filter((F.col("n") > 2) | ((F.col("n") == 2) & near.of_sums()))
     met = materialize(met.select("key", "first", "last", "n"), "met")
     shared = members.join(met.filter("n > 2").select("key", "first"), "key")
     shared = materialize(shared, "shared", release=True)
-    discard(members)
+    for used in found:
+        discard(used)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         pairs = materialize(pairs.distinct(), "pairs")

@@ -27,6 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedlake.llm.rows import column
+from feedlake.operators.latest import free_name
 from feedlake.session import materialize
 
 BLOCK = 8
@@ -126,7 +127,8 @@ def _numbered(rows: DataFrame, largest: int, lengths: DataFrame) -> DataFrame:
 
 
 def mix(df: DataFrame, source_col: str, id_col: str, weights: dict[str, float] | None = None, block: int = BLOCK, period: int | None = None, power: float = POWER) -> DataFrame:
-    """``df`` with a struct ``_mix``: share, period, block, release, deadline, slot, in_mix, exact; null without a weight.
+    """``df`` with a struct ``_mix`` as its last column (a free name like it where there is such a column): share, period,
+    block, release, deadline, slot, in_mix, exact; null without a weight.
 
     Without ``weights`` the target of a source is the power ``power`` of its number of rows.
     """
@@ -153,5 +155,5 @@ def mix(df: DataFrame, source_col: str, id_col: str, weights: dict[str, float] |
         F.floor(F.col("block") * F.col("period") / F.col("share")).alias("release"),
         F.ceil((F.col("block") + 1) * F.col("period") / F.col("share")).alias("deadline"),
         "slot", (F.col("slot") < F.lit(found["all"])).alias("in_mix"), (F.col("slot") < F.lit(found["exact"])).alias("exact"),
-    )).alias("_mix"))
-    return mixed.select("row.*", "_mix")
+    )).alias("mix"))
+    return mixed.select("row.*", F.col("mix").alias(free_name(df.columns, "_mix")))
