@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,16 +25,18 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     model = langid.train(docs.filter(~langid.is_held_out(F.col("doc_id"))), "text", "lang", "doc_id")
     found = langid.predict(docs, "text", model)
-    lang = F.coalesce(found["_lang_pred"], F.lit("und"))
-    stays = (lang != "und") & (found["_score"] >= LEAST_SCORE)
+    predicted, score = (column(found, c) for c in found.columns[-2:])
+    lang = F.coalesce(predicted, F.lit("und"))
+    stays = (lang != "und") & (score >= LEAST_SCORE)
     return found.filter(stays).select(*[F.coalesce(column(found, c), lang).alias(c) if c == "lang" else column(found, c) for c in docs.columns])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without lines that stand elsewhere; documents of which no line is left go."""
     found = line_dedup.dedup(docs, "doc_id", "text")
-    stays = ~((F.col("_n_removed") > 0) & (F.trim("text") == "")) | F.col("text").isNull()
-    n_chars = F.when(F.col("_n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    lost = column(found, found.columns[-1]) > 0
+    stays = ~(lost & (F.trim("text") == "")) | F.col("text").isNull()
+    n_chars = F.when(lost, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return found.filter(stays).select(*[n_chars.alias(c) if c == "n_chars" else column(found, c) for c in docs.columns])
 
 
@@ -43,14 +46,32 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of their slots: the weights say where a document comes, not whether."""
-    mixed = pfair.mix(docs, "source", "doc_id", power=MIX_POWER).orderBy("_mix.slot", "doc_id")
-    return mixed.select([column(mixed, c) for c in docs.columns])
+    """All documents, in the order of their slots: the weights say where a document comes, not whether.
+
+    The order is that of the files this is written to, and of the rows in them.
+    """
+    mixed = pfair.mix(docs, "source", "doc_id", power=MIX_POWER)
+    slot = column(mixed, mixed.columns[-1])["slot"]
+    return mixed.orderBy(slot, "doc_id").select([column(mixed, c) for c in docs.columns])
+
+
+def with_place(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``mix_file`` and ``mix_row``: where a document stands in the files it is read from.
+
+    Sorting by both gives back the order in which the table was written. Null for a table that comes from no files.
+    """
+    name, row = F.regexp_extract("_metadata.file_name", "^part-([0-9]+)", 1), F.col("_metadata.row_index")
+    try:
+        return docs.select("*", F.try_to_number(name, F.lit("9999999999")).cast("int").alias("mix_file"), row.alias("mix_row"))
+    except AnalysisException:
+        return docs.select("*", F.lit(None).cast("int").alias("mix_file"), F.lit(None).cast("bigint").alias("mix_row"))
 
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, lang, and the tokens of the text: their number, a digest, and one of what they decode to."""
-    return bpe.round_trip(docs, ["doc_id", "source", "lang"], "text", public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
+    """doc_id, source, lang, the place in the mix, and the tokens of the text: their number, a digest, and one of what
+    they decode to."""
+    keys = ["doc_id", "source", "lang", "mix_file", "mix_row"]
+    return bpe.round_trip(with_place(docs), keys, "text", public_tokenizers.path(BPE_FILE), public_tokenizers.PATTERN)
 
 
 STAGES = [
@@ -66,7 +87,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another, each written to the shared folder and read again."""
+    """The stages one after another, each written to the shared folder and read again.
+
+    ``orderBy("mix_file", "mix_row")`` of the result is the mix.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         before, docs = docs, materialize(stage(spark, docs, sf_dir), f"stage{i}")
