@@ -9,8 +9,9 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from feedlake.llm import bpe
+from feedlake.llm import bpe, pfair
 from feedlake.llm.queries import ORACLES, QUERIES
+from feedlake.session import materialize
 
 
 def as_rows(names, rows):
@@ -88,3 +89,14 @@ def test_mixing_keeps_every_document(spark, sf_dir):
     assert sorted(r.doc_id for r in found) == list(range(600))
     # What a source has beyond its weight comes last: the rest is through before it is.
     assert {r.source for r in found[-8:]} == {"hot"}
+
+
+def test_the_last_table_in_its_order_is_the_mix(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    mixed = pfair.mix(docs, "source", "doc_id", power=corpus_pipeline.MIX_POWER)
+    want = [r.doc_id for r in mixed.orderBy("_mix.slot", "doc_id").collect()]
+    found = corpus_pipeline.run(spark, sf_dir)
+    assert [r.doc_id for r in found.orderBy("mix_file", "mix_row").collect()] == want
+    assert len({r.source for r in mixed.collect()}) > 2 and want != sorted(want)
