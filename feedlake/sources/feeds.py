@@ -379,7 +379,7 @@ def land_items(items: DataFrame, landing: str) -> None:
     REBALANCE lets AQE give a big source many files and a small one few.
     """
     (
-        items.select(*[F.regexp_replace(c, NOT_XML, "�").alias(c) for c in ITEM_FIELDS], "record_source")
+        items.select(*[F.when(F.col(c).rlike(NOT_XML), F.regexp_replace(c, NOT_XML, "�")).otherwise(F.col(c)).alias(c) for c in ITEM_FIELDS], "record_source")
         .hint("rebalance", F.col("record_source"))
         .write.format("xml")
         .option("rootTag", "rss")
