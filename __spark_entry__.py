@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions import fields, html, text
-from feedlake.operators import latest, lookup, merge, retention, sync, validate
+from feedlake.operators import drift, latest, lookup, merge, retention, sync, validate
 from feedlake.operators.keyed import restrict
 from feedlake.plans import jobs, silver
 from feedlake.schemas import PERMALINK, SILVER
@@ -175,6 +175,20 @@ def store_sync(spark, sf_dir):
     return spark.read.format(name).load()
 
 
+def _drifted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    current, desired = _current_and_desired(spark, sf_dir)
+    return current, desired, materialize(drift.drifted_ranges(current, desired, "user_id", 10), "drifted")
+
+
+def drift_ranges(spark, sf_dir):
+    return _drifted(spark, sf_dir)[2]
+
+
+def drift_plan(spark, sf_dir):
+    """Rows that differ only, unlike ``sync_plan``."""
+    return drift.drift_plan(*_drifted(spark, sf_dir), "user_id", 10)
+
+
 # --- one field at a time ----------------------------------------------------------------
 
 
@@ -575,7 +589,7 @@ def feed_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         html_class_text, nfkc_text, record_source, feed_to_silver, snapshot_name,
         latest_per_key, latest_per_key_maxby, events_on_date, active_set_semi, removed_anti,
         distinct_keys, sync_counts, removed_preview, union_existing_new,
-        merge_snapshot, merge_bucketed, fold_snapshots, sync_plan, mirror_delta, store_sync, events_by_date_index, end_to_end_run,
+        merge_snapshot, merge_bucketed, fold_snapshots, sync_plan, mirror_delta, store_sync, drift_ranges, drift_plan, events_by_date_index, end_to_end_run,
         file_atomic_valid, file_status, quality_flags, retention_tier, stream_ingest,
     ]
     return {query.__name__: query for query in listed}
@@ -726,6 +740,12 @@ def feed_sql() -> dict[str, str]:
             (SELECT user_id FROM e WHERE ts >= (SELECT max(ts) FROM e) - INTERVAL 1 HOUR)
             ORDER BY user_id LIMIT 20""",
         "sync_plan": f"{mirror} {plan}",
+        "drift_plan": f"""{mirror} SELECT *, 'delete' AS op FROM ({removed})
+            UNION ALL SELECT *, 'put' AS op FROM (SELECT * FROM des EXCEPT SELECT * FROM cur)""",
+        "drift_ranges": f"""{mirror}, d AS ((SELECT * FROM cur EXCEPT SELECT * FROM des) UNION ALL (SELECT * FROM des EXCEPT SELECT * FROM cur)),
+            r AS (SELECT DISTINCT floor(user_id / 10)::BIGINT AS r FROM d)
+            SELECT r AS range, (SELECT count(*) FROM cur WHERE floor(user_id / 10) = r) AS n_held,
+                (SELECT count(*) FROM des WHERE floor(user_id / 10) = r) AS n_desired FROM r""",
         "sync_counts": f"{mirror} SELECT op, count(*) AS n_rows FROM ({plan}) GROUP BY op",
         "clean_title": f"SELECT doc_id, {_STRIP.format('text')} AS title FROM documents",
         "ascii_clean": f"""SELECT doc_id, coalesce({_STRIP.format(

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake.operators.drift import WIDTH, drift_plan, drifted_ranges
 from feedlake.operators.keyed import restrict
 from feedlake.operators.merge import fold_snapshots, merge_dealt, merge_snapshot
 from feedlake.operators.sync import DELETE, PUT, KeyedStore, push_plan, removed_rows
@@ -17,6 +18,7 @@ from feedlake.schemas import KEY, OPEN_SILVER, SILVER
 from feedlake.session import materialize, work_tables
 from feedlake.sources.feeds import archive_feeds, file_status, list_feeds, pending_feeds, scan_feeds, scan_feeds_exact
 from feedlake.sources.parts import PartTable, Synced, by_date
+from feedlake.sources.sweep import KEEP, sweep_versions, sweep_work
 from feedlake.sources.tables import BucketedTable, SnapshotTable, append_ledger, publish, read_ledger
 
 PROCESSED, REJECTED, SKIPPED = "processed", "rejected", "skipped"
@@ -85,6 +87,15 @@ class IngestReport:
     silver_version: int | None = None
 
 
+@dataclass(frozen=True)
+class DriftReport:
+    """Ranges of keys that differed, and the rows deleted and put there."""
+
+    n_ranges: int
+    n_deleted: int
+    n_put: int
+
+
 @dataclass(frozen=True)
 class SyncReport:
     """``n_put``: rows put, all there are or, with ``deltas``, those that were new or changed."""
@@ -224,13 +235,17 @@ def sync_mirror(
         return _sync_all(lake, open_store, current)
 
 
+def _as_silver(rows: DataFrame) -> DataFrame:
+    """Rows by the columns of silver; those that a store does not have are NULL."""
+    has = set(rows.columns)
+    return rows.select(*[(F.col(f.name) if f.name in has else F.lit(None)).cast(f.dataType).alias(f.name) for f in SILVER])
+
+
 def _sync_all(lake: Lake, open_store: Callable[[], KeyedStore] | None, current: DataFrame | None) -> SyncReport:
     desired = lake.silver.read()
     held = lake.ranges.read() if lake.deltas else lake.mirror.read()
     if current is not None:
-        # Rows by the table's columns; those that the store does not have are NULL.
-        has = set(current.columns)
-        held = current.select(*[(F.col(f.name) if f.name in has else F.lit(None)).cast(f.dataType).alias(f.name) for f in SILVER])
+        held = _as_silver(current)
     # Not under the declared schema, since a store may hold less than a whole row.
     gone, put = Observation(), Observation()
     lake.removed.write(removed_rows(held, desired), rows=gone)
@@ -262,6 +277,33 @@ def _sync_changes(lake: Lake, open_store: Callable[[], KeyedStore] | None) -> Sy
     return SyncReport(synced.n_deleted, synced.n_put)
 
 
+def mend_store(lake: Lake, open_store: Callable[[], KeyedStore], current: DataFrame, width: int = WIDTH) -> DriftReport:
+    """Make an external store equal silver where it has drifted from it, and touch nothing else.
+
+    ``current``: the rows that the store really holds. Digests of ranges of ``width`` keys are compared first; rows are
+    read again, compared and sent only where these differ. Can be repeated, like a sync.
+    """
+    with work_tables(lake.spark):
+        held, desired = _as_silver(current), lake.silver.read()
+        ranges = materialize(drifted_ranges(held, desired, KEY, width), "drifted")
+        # Written first: it reads the store that is about to change.
+        plan = materialize(drift_plan(held, desired, ranges, KEY, width), "drift")
+        counts = plan.agg(F.count_if(F.col("op") == DELETE).alias("gone"), F.count_if(F.col("op") == PUT).alias("put")).first()
+        push_plan(plan, open_store)
+        return DriftReport(ranges.count(), counts.gone, counts.put)
+
+
+def sweep(lake: Lake, keep: timedelta = KEEP, now: datetime | None = None) -> int:
+    """Remove versions beyond their retention, versions without a commit and forgotten work tables; how many went.
+
+    ``keep``: nothing that holds a file younger than this is taken for forgotten.
+    """
+    now = now or datetime.now(timezone.utc)
+    tables = (lake.silver, lake.mirror, lake.removed)
+    gone = sum(sweep_versions(table, keep, now) for table in tables)
+    return gone + sweep_work(lake.spark, keep, now)
+
+
 def run(
     lake: Lake,
     landing: str,
@@ -272,7 +314,7 @@ def run(
     current: DataFrame | None = None,
     archive: str | None = None,
 ) -> tuple[IngestReport, SyncReport]:
-    """Landed feeds to silver, then silver to mirror; then the catalog names of ``lake``.
+    """Landed feeds to silver, then silver to mirror; then the catalog names of ``lake``, and ``sweep``.
 
     The second starts only if the first did not raise.
     """
@@ -281,4 +323,5 @@ def run(
     for table, name in ((lake.silver, lake.silver_name), (lake.mirror, lake.mirror_name)):
         if name and table.version:
             publish(table, name)
+    sweep(lake)
     return report, synced

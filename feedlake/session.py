@@ -50,8 +50,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused path below the shared folder."""
-    return f"{shared_dir(spark)}/feedlake/{name}-{uuid.uuid4().hex}"
+    """A fresh, never reused path below the shared folder; its name says which application made it."""
+    return f"{shared_dir(spark)}/feedlake/{name}-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str = "cut", release: bool = False) -> DataFrame:

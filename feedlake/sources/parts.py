@@ -9,14 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from feedlake import schemas
+from feedlake.operators.drift import WIDTH, range_of, row_hashes
 from feedlake.operators.latest import free_name
 from feedlake.operators.sync import DELETE, PUT
 from feedlake.session import delete_path, materialize
 from feedlake.sources.tables import read_or_empty
 
-#: Keys a folder, where a table is cut by ranges of its key.
-WIDTH = 1_000_000
-
 
 @dataclass(frozen=True)
 class Synced:
@@ -58,10 +56,7 @@ class PartTable:
 
     def _side(self, rows: DataFrame, side: str) -> DataFrame:
         """Key, part and a digest of 128 bits of each row; the rows themselves stay where they are."""
-        # A hash passes over NULL, so which columns hold one is hashed too.
-        columns = [F.col(f"`{c}`") for c in self.schema.names]
-        columns += [c.isNull() for c in columns]
-        digest = F.struct(F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns))
+        digest = F.struct(*row_hashes(self.schema.names))
         return rows.select(self.key, F.col(self.part_name).alias(f"{side}_part"), digest.alias(f"{side}_digest"))
 
     def changes(self, desired: DataFrame) -> DataFrame:
@@ -96,7 +91,7 @@ class PartTable:
 
 def by_range(key: str = schemas.KEY, width: int = WIDTH) -> Column:
     """Folders by ranges of the key: no folder can hold more rows than a range has keys."""
-    return F.floor(F.col(key) / width).cast("bigint")
+    return range_of(key, width)
 
 
 def by_date(column: str = "start_date") -> Column:

@@ -5,6 +5,7 @@
     plan.write.format("events_store").mode("append").save()
 
 Reading cuts the keys into ranges, one per task; conditions on the key narrow them before the store is asked.
+Spark keeps the conditions with the loaded source: parts of one query that ask for different keys need a ``load()`` each.
 Writing sends a plan (``op`` and the row) in batches from the tasks; each reports what it
 has sent, and the store is told once whether all of them came through. Deletes and puts can be repeated, so a
 task or a run that is done twice ends in the same state, and an aborted write is mended by the next.

@@ -98,24 +98,40 @@ class SnapshotTable:
         if rows:
             df = df.observe(rows, F.count("*").alias("n"))
         self._save(df, path)
-        self._claim(version)
+        attempt = self._claim(version)
+        if not self._holds(version, attempt):
+            raise ConcurrentWrite(f"{self.root}: version {version} was taken over")
         row = (version, path, datetime.now(timezone.utc))
         commit = self.spark.createDataFrame([row], schemas.COMMIT)
         commit.write.mode("append").parquet(f"{self.root}/commits")
         return version
 
-    def _claim(self, version: int) -> None:
-        """Take the right to commit a version; raises if another writer, or a lost one, took it."""
-        claim = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims/{version:08d}")
-        system = claim.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not system.createNewFile(claim):
-            if self._latest()[0] >= version or not self._stale(system, claim):
+    def _claim(self, version: int) -> int:
+        """Take the right to commit a version; raises if another writer has it.
+
+        A claim whose writer died is taken over by making the next one, which only one writer can do.
+        """
+        attempt = 0
+        while not self._system().createNewFile(self._claim_path(version, attempt)):
+            if self._latest()[0] >= version or not self._stale(self._claim_path(version, attempt)):
                 raise ConcurrentWrite(f"{self.root}: version {version} is taken by another writer")
+            attempt += 1
+        return attempt
+
+    def _holds(self, version: int, attempt: int) -> bool:
+        """Whether nobody has taken the claim over since, or committed the version."""
+        return not self._system().exists(self._claim_path(version, attempt + 1)) and self._latest()[0] < version
+
+    def _claim_path(self, version: int, attempt: int):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims/{version:08d}" + f"-{attempt}" * (attempt > 0))
+
+    def _system(self):
+        """The file system that the table lies in."""
+        return self._claim_path(0, 0).getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    @staticmethod
-    def _stale(system, claim) -> bool:
-        """A claim whose writer died before its commit: nothing followed it for an hour."""
-        age = datetime.now(timezone.utc).timestamp() * 1000 - system.getFileStatus(claim).getModificationTime()
+    def _stale(self, claim) -> bool:
+        """A claim whose writer died before its commit, which follows a claim at once."""
+        age = datetime.now(timezone.utc).timestamp() * 1000 - self._system().getFileStatus(claim).getModificationTime()
         return age > CLAIM_MILLISECONDS
 
     def expire(self, as_of: date) -> int:
@@ -180,7 +196,7 @@ class ConcurrentWrite(RuntimeError):
 
 
 #: How long a claim without a commit holds others off.
-CLAIM_MILLISECONDS = 3_600_000
+CLAIM_MILLISECONDS = 600_000
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:

@@ -99,3 +99,9 @@ def test_job_syncs_with_what_the_store_really_holds(spark, tmp_path):
     report = jobs.sync_mirror(lake, folder_store(folder, "event_id"), found)
     assert (report.n_deleted, report.n_put) == (1, 2)
     assert sorted(map(repr, spark.read.format("events_folder").load().collect())) == sorted(map(repr, lake.silver.read().collect()))
+
+
+def test_different_keys_of_one_query_need_a_load_each(spark, store):
+    send(rows(spark, range(100)).withColumn("op", F.lit("put")))
+    both = held(spark).filter("event_id < 10").unionAll(held(spark).filter("event_id >= 90"))
+    assert sorted(r.event_id for r in both.collect()) == [*range(10), *range(90, 100)]

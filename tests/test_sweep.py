@@ -1,0 +1,96 @@
+"""What nothing speaks of any more is removed, and nothing else; claims of writers that died."""
+
+import os
+import time
+from datetime import datetime, timedelta, timezone
+from pathlib import Path
+
+import pytest
+from feed_files import feed, item, name, put
+
+from feedlake.plans import jobs
+from feedlake.session import materialize, shared_dir
+from feedlake.sources import sweep, tables
+
+LATER = datetime.now(timezone.utc) + timedelta(days=3)
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    df = spark.createDataFrame([(1,)], "i int")
+    table = tables.SnapshotTable(spark, str(tmp_path / "t"), df.schema)
+    table.write(df)
+    return table
+
+
+def test_versions_without_a_commit_go_when_old(spark, table):
+    df = table.read()
+    df.write.parquet(f"{table.root}/data/00000002-lost")
+    assert sweep.sweep_versions(table) == 0
+    assert sweep.sweep_versions(table, now=LATER) == 1
+    assert table.read().count() == 1 and len(list(Path(table.root, "data").iterdir())) == 1
+    # One young file keeps its folder: somebody is writing there.
+    df.repartition(1).write.parquet(f"{table.root}/data/00000002-slow")
+    for file in Path(table.root, "data", "00000002-slow").iterdir():
+        os.utime(file, (0, 0))
+    Path(table.root, "data", "00000002-slow", "part").write_text("x")
+    os.utime(Path(table.root, "data", "00000002-slow"), (0, 0))
+    assert sweep.sweep_versions(table) == 0
+    assert sweep.sweep_versions(tables.SnapshotTable(spark, f"{table.root}/none", table.schema), now=LATER) == 0
+
+
+def test_work_tables_of_dead_applications_go(spark):
+    own = materialize(spark.range(3), "own")
+    root = Path(shared_dir(spark).removeprefix("file:"), "feedlake")
+    dead = root / "checked-app-0001-ab"
+    dead.mkdir()
+    (dead / "part").write_text("x")
+    assert sweep.sweep_work(spark) == 0 and dead.exists()
+    assert sweep.sweep_work(spark, now=LATER) >= 1 and not dead.exists()
+    assert own.count() == 3
+
+
+def test_run_sweeps(spark, tmp_path):
+    lake, landing = jobs.Lake(spark, str(tmp_path / "lake")), str(tmp_path / "new")
+    put(landing, name(1), feed(item(1)))
+    jobs.run(lake, landing, "L")
+    first, lost = Path(lake.silver.path.removeprefix("file:")), Path(tmp_path, "lake/silver/data/00000009-lost")
+    lost.mkdir()
+    os.utime(lost, (0, 0))
+    put(landing, name(2), feed(item(1), item(2)))
+    jobs.run(lake, landing, "L")
+    # An old folder without any file is nobody's work; the version before is within its retention.
+    assert not lost.exists() and first.exists()
+    assert jobs.sweep(lake, now=datetime.now(timezone.utc) + timedelta(days=200)) >= 2
+    assert not first.exists() and lake.silver.read().count() == lake.mirror.read().count() == 2
+
+
+def test_claim_of_a_dead_writer_is_taken_over_by_one(spark, table, monkeypatch):
+    df = table.read()
+    claims = Path(table.root, "claims")
+    (claims / "00000002").touch()
+    with pytest.raises(tables.ConcurrentWrite):
+        table.write(df)
+    long_ago = time.time() - 3 * tables.CLAIM_MILLISECONDS / 1000
+    os.utime(claims / "00000002", (long_ago, long_ago))
+    # A second one that finds the same claim stale is too late: the next claim is there.
+    (claims / "00000002-1").touch()
+    with pytest.raises(tables.ConcurrentWrite):
+        table.write(df)
+    os.utime(claims / "00000002-1", (long_ago, long_ago))
+    assert table.write(df) == 2 and table.version == 2
+    assert (claims / "00000002-2").exists()
+
+
+def test_a_writer_that_was_overtaken_commits_nothing(spark, table, monkeypatch):
+    claim = table._claim
+
+    def slow(version):
+        attempt = claim(version)
+        Path(table.root, "claims", f"{version:08d}-{attempt + 1}").touch()
+        return attempt
+
+    monkeypatch.setattr(table, "_claim", slow)
+    with pytest.raises(tables.ConcurrentWrite, match="taken over"):
+        table.write(table.read())
+    assert table.version == 1
