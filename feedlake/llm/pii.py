@@ -144,96 +144,6 @@ Piece = tuple[int, int, str]  # source start, source end, what stands there in t
 _FOREIGN = re.compile(r"[^\x00-\x7f]+")
 
 
-def fold_chars(text: str) -> list[Piece]:
-    """Homoglyphs and the like, one piece per character."""
-    out = []
-    for run in _FOREIGN.finditer(text):
-        for i, char in enumerate(run.group(), run.start()):
-            plain = _fold(char)
-            if plain is not None:
-                out.append((i, i + 1, plain))
-    return out
-
-
-_SEP = r"[\x20,./()-]{0,3}"
-_DIGIT_WORD = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
-#: A word with another item of a run behind it: prose has few of these.
-_ANY_WORD = re.compile(rf"\b(?:{_DIGIT_WORD})\b(?={_SEP}(?:[0-9]|\b(?:{_DIGIT_WORD})\b))")
-_SPELLED = 7
-
-# Fixed values: "at" and "dot" as words, and the last labels that make a bare "dot" one.
-AT = ["at", "arobase", "arroba", "ät"]
-DOT = ["dot", "point", "punkt", "punto"]
-TOP_LEVEL = "com org net edu gov mil int info biz io co ai app dev me tv eu us uk de fr es it nl be ch at ca au in jp br ru pl se no fi dk pt ie mx test example invalid localhost".split()
-
-
-@cache
-def _fold(char: str) -> str | None:
-    """The form of one non-ASCII character inside an identifier; None to leave it."""
-    if char in INVISIBLE:
-        return ""
-    plain = CYRILLIC.get(char) or GREEK.get(char) or SIGNS.get(char)
-    if plain is None:
-        if unicodedata.category(char) == "Nd":
-            return str(unicodedata.digit(char))
-        plain = unicodedata.normalize("NFKC", char)
-        if len(plain) != 1 or not (plain.isascii() and plain.isprintable()) or plain == char:
-            return None
-    return plain
-
-
-Piece = tuple[int, int, str]  # source start, source end, what stands there in the normal form
-
-_FOREIGN = re.compile(r"[^\x00-\x7f]+")
-
-
-def fold_chars(text: str) -> list[Piece]:
-    """Homoglyphs and the like, one piece per character."""
-    out = []
-    for run in _FOREIGN.finditer(text):
-        for i, char in enumerate(run.group(), run.start()):
-            plain = _fold(char)
-            if plain is not None:
-                out.append((i, i + 1, plain))
-    return out
-
-
-_SEP = r"[\x20,./()-]{0,3}"
-_DIGIT_WORD = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
-_FIRST = "".join(sorted({c for w in DIGIT_OF for c in (w[0], w[0].upper())}))
-#: Two items of a run, one of them a word: prose has few of these.
-_ANY_WORD = re.compile(rf"(?<=[0-9\x20,./()+-])(?:{_DIGIT_WORD})\b(?={_SEP}(?:[0-9]|\b(?:{_DIGIT_WORD})\b))|\b(?:{_DIGIT_WORD})\b(?={_SEP}(?:[0-9]|\b(?:{_DIGIT_WORD})\b))")
-_SPELLED = 7
-
-# Fixed values: "at" and "dot" as words, and the last labels that make a bare "dot" one.
-AT = ["at", "arobase", "arroba", "ät"]
-DOT = ["dot", "point", "punkt", "punto"]
-TOP_LEVEL = "com org net edu gov mil int info biz io co ai app dev me tv eu us uk de fr es it nl be ch at ca au in jp br ru pl se no fi dk pt ie mx test example invalid localhost".split()
-
-# The other country codes, and generic ones that are in wide use.
-MORE_TOP_LEVEL = "ac ad ae af ag al am ao aq ar as aw ax az ba bb bd bf bg bh bi bj bm bn bo bs bt bw by bz cc cd cf cg ci ck cl cm cn cr cu cv cw cx cy cz dj dm do dz ec ee eg er et fj fk fm fo ga gd ge gf gg gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id il im iq ir is je jm jo ke kg kh ki km kn kp kr kw ky kz la lb lc li lk lr ls lt lu lv ly ma mc md mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw my mz na nc ne nf ng ni np nr nu nz om pa pe pf pg ph pk pm pn pr ps pw py qa re ro rs rw sa sb sc sd sg sh si sk sl sm sn so sr ss st su sv sx sy sz tc td tf tg th tj tk tl tm tn to tr tt tw tz ua ug uy uz va vc ve vg vi vn vu wf ws ye yt za zm zw xyz online site shop store tech cloud blog club page news live pro name mobi asia cat jobs travel museum coop aero post tel xxx top vip wiki world email agency digital media studio design art space website host press eus gal bzh wales scot berlin hamburg koeln paris london wien tirol swiss nyc tokyo arpa onion local".split()
-
-
-@cache
-def _fold(char: str) -> str | None:
-    """The form of one non-ASCII character inside an identifier; None to leave it."""
-    if char in INVISIBLE:
-        return ""
-    plain = CYRILLIC.get(char) or GREEK.get(char) or SIGNS.get(char)
-    if plain is None:
-        if unicodedata.category(char) == "Nd":
-            return str(unicodedata.digit(char))
-        plain = unicodedata.normalize("NFKC", char)
-        if len(plain) != 1 or not (plain.isascii() and plain.isprintable()) or plain == char:
-            return None
-    return plain
-
-
-Piece = tuple[int, int, str]  # source start, source end, what stands there in the normal form
-
-_FOREIGN = re.compile(r"[^\x00-\x7f]+")
-
-
 def fold_chars(text: str) -> list[Piece]:
     """Homoglyphs and the like, one piece per character."""
     out = []
@@ -248,35 +158,62 @@ def fold_chars(text: str) -> list[Piece]:
 _SEP = r"[\x20,./()-]{0,3}"
 _DIGIT_WORD = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
 _ANY_WORD = re.compile(rf"\b(?:{_DIGIT_WORD})\b")
-_SPELLED = re.compile(rf"\+?(?:\b(?:{_DIGIT_WORD})\b|[0-9])(?:{_SEP}(?:\b(?:{_DIGIT_WORD})\b|[0-9]))*")
 _ITEM = re.compile(rf"\b(?:{_DIGIT_WORD})\b|[0-9]")
+# Words for the same digit several times, and for the sign of a phone number.
+TIMES = {"double": 2, "triple": 3}
+PLUS = ["plus", "más", "mas"]
+_TIMES, _PLUS = "|".join(TIMES), "|".join(PLUS)
+_RUN_ITEM = rf"(?:\b(?:{_TIMES})\x20)?(?:\b(?:{_DIGIT_WORD})\b|[0-9])"
+_SPELLED = re.compile(rf"(?:\+\x20?|\b(?:{_PLUS})\x20)?{_RUN_ITEM}(?:{_SEP}{_RUN_ITEM})*")
+_SIGN = re.compile(rf"\+|(?:{_PLUS})\b")
+_OF_RUN = re.compile(_RUN_ITEM)
+#: A word at the end of what stands before a run that belongs to it.
+_BEFORE = re.compile(rf"\b(?:{_PLUS}|{_TIMES})\Z")
+_LONGEST_BEFORE = max(map(len, [*PLUS, *TIMES]))
+
+
+def _digits(item: str) -> str:
+    """The digits that an item of a run stands for."""
+    *times, last = item.split(" ")
+    return DIGIT_OF.get(last, last) * (TIMES[times[0]] if times else 1)
+
+
+def _run_start(text: str, start: int, at: int) -> int:
+    """Back from a word, but not before ``at``: over digits, separators and the words that may stand between."""
+    while True:
+        while start > at and text[start - 1] in "0123456789 ,./()-+":
+            start -= 1
+        before = _BEFORE.search(text, max(at, start - _LONGEST_BEFORE), start)
+        if not before:
+            return start
+        start = before.start()
 
 
 def fold_digits(text: str) -> list[Piece]:
-    """Words for digits inside a run of at least ``LEAST_SPELLED`` digits."""
+    """Words for digits inside a run of at least ``LEAST_SPELLED`` digits, "double" and "plus" among them."""
     text, out, at = same_length_lower(text), [], 0
     while word := _ANY_WORD.search(text, at):
         # The run around the word: back over digits and separators, then on from there.
-        start = word.start()
-        while start > at and text[start - 1] in "0123456789 ,./()-+":
-            start -= 1
         run = None
-        for m in _SPELLED.finditer(text, start):
+        for m in _SPELLED.finditer(text, _run_start(text, word.start(), at)):
             if m.end() > word.start():
                 run = m
                 break
         if run is None:
             at = word.end()
             continue
-        items = [(m.start(), m.end(), m.group()) for m in _ITEM.finditer(text, run.start(), run.end())]
-        if len(items) >= LEAST_SPELLED and run.start() <= word.start():
+        items = [(m.start(), m.end(), m.group()) for m in _OF_RUN.finditer(text, run.start(), run.end())]
+        if sum(len(_digits(item)) for _, _, item in items) >= LEAST_SPELLED and run.start() <= word.start():
+            sign = _SIGN.match(text, run.start())
+            if sign and text[sign.start() : items[0][0]] != "+":
+                out.append((sign.start(), items[0][0], "+"))
             last = None
             for a, b, item in items:
                 # Blanks between two words go, so that the digits stand together.
                 if last is not None and len(item) > 1 and last[1] < a and text[last[1] : a].strip(" ,") == "" and last[2]:
                     out.append((last[1], a, ""))
                 if len(item) > 1:
-                    out.append((a, b, DIGIT_OF[item]))
+                    out.append((a, b, _digits(item)))
                 last = a, b, len(item) > 1
         at = max(run.end(), word.end())
     return out
@@ -288,8 +225,8 @@ _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _WRAPPED_AT = re.compile(rf"\x20{{0,2}}{_OPEN}\x20?(?:{_AT}|@)\x20?{_CLOSE}\x20{{0,2}}|(?<=[A-Za-z0-9])[_*-]{{1,2}}(?:{_AT})[_*-]{{1,2}}(?=[A-Za-z0-9])|&#0*64;|&commat;|%40")
 _WRAPPED_DOT = re.compile(rf"\x20{{0,2}}{_OPEN}\x20?(?:{_DOT}|\.)\x20?{_CLOSE}\x20{{0,2}}|(?<=[A-Za-z0-9])[_*-]{{1,2}}(?:{_DOT})[_*-]{{1,2}}(?=[A-Za-z0-9])|&#0*46;|&period;")
 _SEP_DOT = rf"(?:\.|\x20\.\x20|\x20{{1,2}}(?:{_DOT})\x20{{1,2}})"
-#: Behind "dot", which hardly ever is prose there, the last label may be any known one; the other words are prose too.
-_LAST = rf"(?:{_SEP_DOT}(?:{'|'.join(TOP_LEVEL)})|\x20{{1,2}}dot\x20{{1,2}}(?:{'|'.join(MORE_TOP_LEVEL)}))(?![A-Za-z0-9-])"
+#: Behind "dot", which hardly ever is prose there, the last label may be any; the other words are prose too.
+_LAST = rf"(?:{_SEP_DOT}(?:{'|'.join(TOP_LEVEL)})|\x20{{1,2}}dot\x20{{1,2}}[A-Za-z]{{2,}})(?![A-Za-z0-9-])"
 #: name at host dot com: bare words count only with all of it, down to a known last label.
 _BARE = re.compile(
     rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:{_SEP_DOT}[A-Za-z0-9_%+-]+)*"
@@ -306,12 +243,12 @@ _QUAD = re.compile(rf"(?<![A-Za-z0-9.])({_PART})({_SEP_DOT})({_PART})({_SEP_DOT}
 _DIGIT_BY_DOT = re.compile(rf"(?:{_DIGIT_WORD})(?=\.[a-z0-9]|\x20\.\x20|\x20{{1,2}}(?:{_DOT})\x20)|(?:[0-9a-z]\.|\x20\.\x20|\x20(?:{_DOT})\x20{{1,2}})(?:{_DIGIT_WORD})\b")
 _HINT_AT = re.compile(rf"[@%;]|(?:{_AT})[\])}}>_*\x20-]|&commat")
 _HINT_DOT = re.compile(rf"(?:{_DOT})[\])}}>_*\x20-]|&#0*46;|&period;|[\[({{<]\x20?\.")
-_BARE_AT = re.compile(rf"\x20{{1,2}}(?:{_AT})\x20")
+#: A bare "at" and a whole host behind it, however long.
+_HOST_AFTER_AT = re.compile(rf"\x20{{1,2}}(?:{_AT})\x20{{1,2}}(?=[A-Za-z0-9-]+(?:{_SEP_DOT}[A-Za-z0-9-]+)*{_LAST})")
 _DOT_WORD = re.compile(rf"\x20(?:{_DOT})\x20")
-_LOCAL_BEFORE = re.compile(r"[A-Za-z0-9._%+-][A-Za-z0-9._%+\x20-]*\Z")
-_LOCAL_START = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]")
-#: A host name has 253 characters at most; so far from the "at" the rest of an address is sought.
-NEAR = 253
+_LABEL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_%+-")
+_DOT_BEFORE = re.compile(rf"{_SEP_DOT}\Z")
+_LONGEST_DOT = max(map(len, DOT)) + 4
 
 
 def fold_quads(text: str) -> list[Piece]:
@@ -347,31 +284,34 @@ def fold_at_dot(text: str) -> list[Piece]:
         out += [(m.start(), m.end(), "@") for m in _WRAPPED_AT.finditer(text)]
     if wrapped_dot:
         out += [(m.start(), m.end(), ".") for m in _WRAPPED_DOT.finditer(text)]
-    # A bare "at" counts only where a dot word follows it closely, an @ where a host does.
-    dots = [m.start() for m in _DOT_WORD.finditer(text)] if dot_words else []
+    # A bare "at" counts only where a host with a dot word follows it, an @ where a host does.
     places = [m.start() for m in _SPACED_AT.finditer(text)] if "@" in text else []
-    for m in _BARE_AT.finditer(text) if dots else ():
-        i = bisect_left(dots, m.end() - 1)
-        if i < len(dots) and dots[i] < m.end() + NEAR:
-            places.append(m.start())
+    places += [m.start() for m in _HOST_AFTER_AT.finditer(text)] if dot_words else []
     for found in filter(None, (_whole_address(text, at) for at in places)):
         a, b = found.span("at")
         out.append((a, b, "@"))
         for start, end in ((found.start(), a), (b, found.end())):
             out += [(x.start(), x.end(), ".") for x in _BARE_DOT.finditer(text, start, end)]
-    for found in _DOTTED.finditer(text) if dots else ():
+    for found in _DOTTED.finditer(text) if dot_words else ():
         out += [(x.start(), x.end(), ".") for x in _BARE_DOT.finditer(text, found.start(), found.end())]
     return out
 
 
 def _whole_address(text: str, at: int) -> re.Match | None:
     """The disguised address whose "at" begins at ``at``, with the longest local part."""
-    start = _LOCAL_BEFORE.search(text, max(0, at - NEAR), at)
-    for m in _LOCAL_START.finditer(text, start.start() if start else at, at):
-        found = _BARE.match(text, m.start())
-        if found and found.start("at") == at:
-            return found
-    return None
+    start = begin = at
+    while True:
+        # Back over a label, then over the dot before it, as long as there are both.
+        while begin and text[begin - 1] in _LABEL_CHARS:
+            begin -= 1
+        if begin == start or not (dot := _DOT_BEFORE.search(text, max(0, begin - _LONGEST_DOT), begin)):
+            break
+        start, begin = begin, dot.start()
+        if not begin or text[begin - 1] not in _LABEL_CHARS:
+            begin = start
+            break
+    found = _BARE.match(text, begin) if begin < at else None
+    return found if found and found.start("at") == at else None
 
 
 class Rewritten:

@@ -64,18 +64,30 @@ def test_disguises_map_back_to_the_source(text, before):
 WHOLE = {
     "10.0.zero.one": "ip", "one nine two dot one six eight dot one dot one": "ip", "192 dot one six 8 dot 0 dot zero": "ip", "١٠ dot ٠ dot ٠ dot ١": "ip",
     "li at host dot cn": "email", "jan at mail dot posta dot cz": "email", "kim at host dot xyz": "email", "a at b dot co dot za": "email",
+    "john dot doe at example dot photography": "email", "plus one two one two five five five one two three four": "phone",
+    "plus four four double seven triple 0 one two three": "phone",
+    "+ 1 double five double five one two three four": "phone", "más tres cuatro, nueve uno uno double dos tres cuatro": "phone",
+    "four one one one one one one one double one double one double one double one": "card",
     "a.b.c.d.e.f at host dot com": "email", "me at a dot b dot c dot d dot e dot f dot com": "email",
 }
 
 
 @pytest.mark.parametrize("text", WHOLE)
 def test_whole_disguises(text):
+    """With any text around them."""
     for before, after in (("", ""), ("it is: ", "."), ("é ", ", he said")):
         full = before + text + after
         assert [(pii.KINDS[k], full[a:b]) for k, a, b in pii.added_spans(full, pii.base_spans(full))] == [(WHOLE[text], text)]
 
 
-@pytest.mark.parametrize("text", ["he is at this point so tired", "one. two. three. four.", "one dot two dot three", "three hundred. one dot 256 dot 1 dot one", "1.2.3.4"])
+def test_long_addresses_and_many_signs_are_read_in_time():
+    for text in ("a dot " * 200 + "b at " + "c dot " * 300 + "com", "x" * 5000 + " at " + "y" * 5000 + " dot org"):
+        assert [(k, a, b) for k, a, b in pii.added_spans("to " + text, [])] == [(0, 3, 3 + len(text))]
+    for text in ("a dot " * 30_000, "x dot at dot " * 15_000, "plus double " * 30_000 + "one", "one at " * 30_000, "one, " * 40_000, "a at b dot " * 10_000):
+        pii.added_spans(text, [])
+
+
+@pytest.mark.parametrize("text", ["he is at this point so tired", "plus one or two of three", "double one, triple two", "a double five is plus one", "surplus one two one two five five five one two three four", "one. two. three. four.", "one dot two dot three", "three hundred. one dot 256 dot 1 dot one", "1.2.3.4"])
 def test_prose_is_no_disguise(text):
     assert pii.added_spans(text, pii.base_spans(text)) == []
 
