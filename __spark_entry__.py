@@ -22,6 +22,7 @@ from feedlake.session import materialize, work_path
 from feedlake.sources import feeds, parts, tables
 from feedlake.sources.folder_store import folder_store
 from feedlake.sources.store import register_store
+from feedlake.streaming.fold import FeedLog, fold_log
 from feedlake.streaming.ingest import stream_feeds
 
 LOAD_DATE = "2024-02-01T00:00:00+00:00"
@@ -551,6 +552,21 @@ def stream_ingest(spark, sf_dir):
     return lake.silver.read()
 
 
+def stream_fold(spark, sf_dir):
+    """``fold_snapshots`` in the state of a stream: the table of the days since as one feed, then the days before."""
+    rows = _events(spark, sf_dir)
+    early, since = rows.filter(F.col("ts") < F.lit(CUT)), rows.filter(F.col("ts") >= F.lit(CUT))
+    schema = rows.select(ROW).schema
+    newest = [F.col("f"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.col("event_id")]
+    log = FeedLog(spark, work_path(spark, "log"), schema, "user_id", newest)
+    table, checkpoint = tables.SnapshotTable(spark, work_path(spark, "folded"), schema), work_path(spark, "stream")
+    existing = latest.latest_per_key(since, "user_id", _newest()).withColumn("feed", F.lit("table"))
+    for feed in (existing, early.withColumn("feed", F.col("f"))):
+        log.append(feed, feed.select("feed").distinct(), "feed")
+        fold_log(log, table, checkpoint)
+    return table.read()
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Merge the last day into everything before it."""
     return merge_snapshot(spark, "/root/testdata/sf0.001")
@@ -590,7 +606,7 @@ def feed_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         latest_per_key, latest_per_key_maxby, events_on_date, active_set_semi, removed_anti,
         distinct_keys, sync_counts, removed_preview, union_existing_new,
         merge_snapshot, merge_bucketed, fold_snapshots, sync_plan, mirror_delta, store_sync, drift_ranges, drift_plan, events_by_date_index, end_to_end_run,
-        file_atomic_valid, file_status, quality_flags, retention_tier, stream_ingest,
+        file_atomic_valid, file_status, quality_flags, retention_tier, stream_ingest, stream_fold,
     ]
     return {query.__name__: query for query in listed}
 
@@ -684,6 +700,16 @@ def feed_sql() -> dict[str, str]:
     plan = f"""SELECT *, 'delete' AS op FROM ({removed})
                UNION ALL SELECT *, 'put' AS op FROM des"""
     bad = "(value IS NULL OR value < 0.05)"
+    fold = f"""WITH {_E},
+        early AS (SELECT * FROM e WHERE ts < DATE '{CUT}'),
+        since AS (SELECT * FROM e WHERE ts >= DATE '{CUT}'),
+        s0 AS ({_latest_sql("since")}),
+        k AS (SELECT user_id FROM early GROUP BY user_id
+              HAVING count(DISTINCT f) = (SELECT count(DISTINCT f) FROM early)),
+        n AS (SELECT * FROM ({_latest_sql("early")}) WHERE f = (SELECT max(f) FROM early)),
+        kept AS (SELECT * FROM s0 WHERE user_id IN (SELECT user_id FROM k))
+        SELECT * FROM kept
+        UNION ALL SELECT * FROM n WHERE user_id NOT IN (SELECT user_id FROM kept)"""
     return {
         "list_pending_files": f"SELECT DISTINCT {_FEED} AS record_source FROM events",
         "pending_minus_ledger": f"SELECT max({_FEED}) AS record_source FROM events",
@@ -721,16 +747,8 @@ def feed_sql() -> dict[str, str]:
         "merge_first_run": f"{events_f} {_latest_sql('e')}",
         "merge_snapshot": f"{mirror} SELECT * FROM des",
         **dict.fromkeys(["mirror_apply", "merge_bucketed", "mirror_delta", "store_sync"], f"{mirror} SELECT * FROM des"),
-        "fold_snapshots": f"""WITH {_E},
-            early AS (SELECT * FROM e WHERE ts < DATE '{CUT}'),
-            since AS (SELECT * FROM e WHERE ts >= DATE '{CUT}'),
-            s0 AS ({_latest_sql("since")}),
-            k AS (SELECT user_id FROM early GROUP BY user_id
-                  HAVING count(DISTINCT f) = (SELECT count(DISTINCT f) FROM early)),
-            n AS (SELECT * FROM ({_latest_sql("early")}) WHERE f = (SELECT max(f) FROM early)),
-            kept AS (SELECT * FROM s0 WHERE user_id IN (SELECT user_id FROM k))
-            SELECT * FROM kept
-            UNION ALL SELECT * FROM n WHERE user_id NOT IN (SELECT user_id FROM kept)""",
+        "fold_snapshots": fold,
+        "stream_fold": fold,
         "active_set_semi": f"""{events_f} SELECT {_ROW} FROM existing
             WHERE user_id IN (SELECT user_id FROM new)""",
         "distinct_keys": "SELECT DISTINCT user_id FROM events",

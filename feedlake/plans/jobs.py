@@ -149,19 +149,27 @@ def check_feeds(spark: SparkSession, landing: str, pending: DataFrame) -> DataFr
     return done.drop("again", "n_empty")
 
 
+def feed_rows(lake: Lake, landing: str, pending: DataFrame, files: DataFrame, load_date: str) -> DataFrame:
+    """Silver rows of the given files, which have been checked."""
+    return clean_items(_scan(lake.spark, landing, pending, files), load_date, lake.guid_is_link).select(SILVER.names)
+
+
+def changed_files(lake: Lake, files: DataFrame) -> DataFrame:
+    """The names among ``files`` that were processed before: what they hold replaces their own rows."""
+    before = lake.ledger().filter(F.col("status") == PROCESSED).select("record_source")
+    return files.join(before, "record_source", "left_semi").select("record_source").distinct()
+
+
 def _folded(lake: Lake, landing: str, pending: DataFrame, files: DataFrame, load_date: str) -> DataFrame:
     """The silver table after ``files``. All but the last are read only if one can matter."""
     last, n_files = files.agg(F.max("record_source"), F.count("*")).first()
     late = lake.silver.read().filter(F.col("record_source") >= last)
-    # A file that came before and has changed replaces its own rows.
-    before = lake.ledger().filter(F.col("status") == PROCESSED).select("record_source")
-    changed = materialize(files.join(before, "record_source", "left_semi").select("record_source").distinct(), "changed")
+    changed = materialize(changed_files(lake, files), "changed")
     if not changed.isEmpty():
         late = late.join(changed, "record_source", "left_anti").select(late.columns)
     if late.isEmpty():
         files, n_files = files.filter(F.col("record_source") == last), 1
-    items = _scan(lake.spark, landing, pending, files)
-    batch = clean_items(items, load_date, lake.guid_is_link).select(SILVER.names)
+    batch = feed_rows(lake, landing, pending, files, load_date)
     merge = merge_dealt if lake.buckets else merge_snapshot
     return fold_snapshots(late, lake.silver.dealt(batch), last, n_files, merge=merge)
 
@@ -174,6 +182,7 @@ def ingest(
     allow_empty: bool = True,
     listing: DataFrame | None = None,
     archive: str | None = None,
+    apply: Callable[[str, DataFrame, DataFrame, str], None] | None = None,
 ) -> IngestReport:
     """Apply the landed feeds that the ledger has not seen, in name order, to silver.
 
@@ -183,15 +192,18 @@ def ingest(
     false such feeds are skipped.
     ``listing``: the part of ``list_feeds`` to look at, if not all of it.
     ``archive``: folder that the files of this run are moved to once the ledger has them.
+    ``apply``: what is done with good files (landing, pending, files, load date) in place of a new version of silver.
 
     The ledger is written last, and rows of a file that is loaded twice stay the same, so a
     run that died at any point can be repeated.
     """
     with work_tables(lake.spark):
-        return _ingest(lake, landing, load_date, strict, allow_empty, listing, archive)
+        return _ingest(lake, landing, load_date, strict, allow_empty, listing, archive, apply)
 
 
-def _ingest(lake: Lake, landing: str, load_date: str | None, strict: bool, allow_empty: bool, listing: DataFrame | None, archive: str | None) -> IngestReport:
+def _ingest(
+    lake: Lake, landing: str, load_date: str | None, strict: bool, allow_empty: bool, listing: DataFrame | None, archive: str | None, apply: Callable | None
+) -> IngestReport:
     load_date = load_date or datetime.now(timezone.utc).isoformat()
     listing = list_feeds(lake.spark, landing) if listing is None else listing
     pending = materialize(pending_feeds(listing, lake.ledger()), "pending")
@@ -208,7 +220,10 @@ def _ingest(lake: Lake, landing: str, load_date: str | None, strict: bool, allow
     version = None
     if PROCESSED in counts:
         good = files.filter(F.col("status") == PROCESSED)
-        version = lake.silver.write(_folded(lake, landing, pending, good, load_date))
+        if apply:
+            apply(landing, pending, good, load_date)
+        else:
+            version = lake.silver.write(_folded(lake, landing, pending, good, load_date))
     if counts:
         append_ledger(files.withColumn("load_date", F.lit(load_date)), lake.ledger_path)
     if archive and counts:
