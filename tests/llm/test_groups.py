@@ -306,6 +306,42 @@ def test_unfinished_batch_is_replaced(spark):
     assert rollup.batches() == ["b1"]
 
 
+def test_compaction_keeps_totals_and_ids(spark):
+    """Ids with signs of paths, patterns and escapes; a batch that comes again after its rows were deleted."""
+    path = work_path(spark, "rollup")
+    rollup = token_rollup.Rollup(spark, path)
+    ids = ["a/b", "a", "x*{y}", "50%25", "é ü", "base=1"]
+    one = spark.createDataFrame([("insert", "s", None, "t", None, 5)], token_rollup.CHANGES).withColumn("n_docs", F.lit(9))
+    assert rollup.compact() == 0
+    for i, batch in enumerate(ids):
+        assert rollup.commit(batch, one) and not rollup.commit(batch, one)
+        if i % 2:
+            assert rollup.compact() == 2 and rollup.compact() == 0
+        assert not rollup.commit(ids[0], one)
+        assert [tuple(r) for r in rollup.totals().collect()] == [("s", None, "t", i + 1, 5 * i + 5)]
+    assert rollup.batches() == sorted(ids)
+    # The first four batches have no rows left, the last two still have theirs; so has the table before the last.
+    base, held, since = rollup._parts()
+    assert (int(base), held, since) == (3, set(ids), []) and not rollup._exists(f"{path}/base={1:012d}") and rollup._exists(f"{path}/base={2:012d}")
+    with pytest.raises(Exception, match="unknown change"):
+        rollup.commit("bad", one.withColumn("change", F.lit("drop")))
+    assert rollup.commit("takedown", one.select(F.lit("delete").alias("change"), "source", "lang", "tokenizer", F.lit(5).cast("bigint").alias("old_tokens"), F.lit(None).cast("bigint").alias("new_tokens")))
+    assert [tuple(r)[3:] for r in rollup.totals().collect()] == [(5, 25)]
+
+
+def test_unfinished_compaction_counts_nothing_twice(spark):
+    path = work_path(spark, "rollup")
+    rollup = token_rollup.Rollup(spark, path)
+    one = spark.createDataFrame([("insert", "s", "en", "t", None, 5)], token_rollup.CHANGES)
+    for batch in ("b1", "b2"):
+        rollup.commit(batch, one)
+    # It died before its list of batches.
+    rollup._read(None, ["b1", "b2"]).write.parquet(f"{path}/base={1:012d}/totals")
+    assert [tuple(r)[3:] for r in rollup.totals().collect()] == [(2, 10)]
+    assert rollup.compact() == 2
+    assert [tuple(r)[3:] for r in rollup.totals().collect()] == [(2, 10)]
+
+
 # --- neighbours -----------------------------------------------------------------------------------
 
 
