@@ -8,7 +8,7 @@ Only DataFrame operations. Work grows with the members of a key, not with their
 4. In the others a second star is drawn around a member chosen by a hash.
 5. What is still in different groups under one key is compared pair by pair, as far as a cheap
    test of both sides does not rule the pair out. So no link is lost that the keys offer. Where things
-   are sets, parts that no other member has rule out most of these pairs, and never a link.
+   are sets, parts that one of two sets has and the other cannot have rule out most of these pairs, and never a link.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.operators.keyed import restrict
 from feedlake.session import discard, materialize
 
 
@@ -96,34 +95,34 @@ def link(
     ``facts`` has a row per id, with the columns of ``near``; ``keys`` is an array of long per row, or
     several of them, of which one at a time is spread out.
     ``near`` rules pairs out cheaply, ``confirm`` keeps the true ones of pairs (a, b). ``alone``,
-    for sets of ``near.size`` parts: (id, own) of given ids, the parts that none of the others has.
+    for sets of ``near.size`` parts: of given ids (id, own, and any columns of bits): the parts that none of
+    the others has, and a bit for each value of a hash that a part of the set has. Ids may be missing.
     """
     found = []
     for some in keys if isinstance(keys, list) else [keys]:
-        spread = facts.select("id", *near.columns, F.explode(some).alias("key"))
-        # Most keys have one member: a bare count finds the others, which are sent to the members if their size allows.
-        several = spread.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-        found.append(materialize(restrict(spread, several, "key", "left_semi"), "members", release=True))
+        # Dealt out by key once, at any size: what is to be known of a key is gathered and joined to its members where they lie.
+        spread = facts.select("id", *near.columns, F.explode(some).alias("key")).repartition("key")
+        sums = [F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("times"), *near.sums()]
+        met = spread.groupBy("key").agg(*sums).filter((F.col("times") > 2) | ((F.col("times") == 2) & near.of_sums()))
+        found.append(materialize(spread.join(met.select("key", "first", "last", "times").hint("merge"), "key"), "members", release=True))
     members = reduce(DataFrame.unionByName, found)
-    counted = members.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"), *near.sums())
-    met = counted.filter((F.col("n") > 2) | ((F.col("n") == 2) & near.of_sums()))
-    met = materialize(met.select("key", "first", "last", "n"), "met")
-    shared = members.join(met.filter("n > 2").select("key", "first"), "key")
-    shared = materialize(shared, "shared", release=True)
-    for used in found:
-        discard(used)
+    shared = materialize(members.filter("times > 2").select("key", "id", *near.columns, "first"), "shared")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         pairs = materialize(pairs.distinct(), "pairs")
-        return materialize(confirm(pairs) if not pairs.isEmpty() else pairs, "links", release=True)
+        links = materialize(confirm(pairs) if not pairs.isEmpty() else pairs, "links", release=True)
+        discard(pairs)
+        return links
 
     def starred(rows: DataFrame, centres: DataFrame, where: str) -> DataFrame:
         """Pairs of the members of each key with its centre, as far as they may be near."""
         both = rows.alias("x").join(centres.alias("y"), F.col("x.key") == F.col("y.key")).filter(F.expr(where) & near.of("x", "y"))
         return both.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
 
-    two = met.filter("n = 2").select(F.col("first").alias("a"), F.col("last").alias("b"))
+    two = members.filter("times = 2 and id = first").select(F.col("first").alias("a"), F.col("last").alias("b"))
     links = confirmed(two.union(starred(shared, shared.filter("id = first"), "x.id <> y.id")))
+    for used in found:
+        discard(used)
     shared, roots = _mixed(shared, near, connected(links))
     if not shared.isEmpty():
         star = starred(shared, shared.filter("spread = pick"), "x.root <> y.root")
@@ -133,19 +132,34 @@ def link(
         test = F.expr("x.id < y.id and x.root <> y.root") & near.of("x", "y")
         if alone:
             own = materialize(alone(shared.select("id").distinct()), "own")
-            shared = materialize(shared.join(own, "id", "left").na.fill(0, ["own"]), "shared")
-            # At most n - own parts are common, and the union has at least n + own of the other side.
-            for a, b in ("xy", "yx"):
-                n = F.col(f"{a}.{near.size}")
-                test &= 100 * (n - F.col(f"{a}.own")) >= near.share * (n + F.col(f"{b}.own"))
+            masks = [c for c in own.columns if c not in ("id", "own")]
+            last, shared = shared, materialize(_with_room(shared, own, near, masks), "shared")
+            discard(last)
+            discard(own)
+            bits = sum((F.bit_count(F.col(f"x.{c}").bitwiseAND(F.col(f"y.{c}"))) for c in masks), F.lit(0))
+            common = F.least("x.room", "y.room", bits + F.least("x.hidden", "y.hidden"))
+            test &= (100 + near.share) * common >= near.share * (F.col(f"x.{near.size}") + F.col(f"y.{near.size}"))
         rest = shared.alias("x").join(shared.alias("y"), (F.col("x.key") == F.col("y.key")) & test)
         links = links.union(confirmed(rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))))
         roots = connected(links)
     discard(shared)
-    discard(met)
     return roots
 
 
+def _with_room(shared: DataFrame, own: DataFrame, near: Near, masks: list[str]) -> DataFrame:
+    """The members with what bounds the parts that two of them have in common: no more than ``room`` of one side, and
+    no more than the bits that both have and the ``hidden`` parts of one side, which have no bit to themselves.
+
+    Where nothing is known of an id, its bits are all set and any number of parts is hidden.
+    """
+    size = F.col(near.size)
+    held = sum((F.bit_count(c) for c in masks), F.lit(0))
+    room = size - F.coalesce("own", F.lit(0))
+    hidden = F.when(F.col("own").isNotNull(), size - held).otherwise(1 << 40) if masks else size
+    kept = shared.join(own, "id", "left").select("key", "id", "root", *near.columns, room.alias("room"), hidden.cast("bigint").alias("hidden"), *masks)
+    return kept.na.fill(-1, masks) if masks else kept
+
+
 def _mixed(shared: DataFrame, near: Near, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The members of keys under which several groups meet, with their group and a chosen member."""
     rows = shared.select("key", "id", *near.columns).join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))

@@ -29,11 +29,15 @@ from feedlake.operators.keyed import restrict
 from feedlake.session import discard, materialize
 
 BANDS, ROWS = 40, 5
+#: Bands whose keys are dealt out at a time.
+BANDS_AT_A_TIME = 10
 SIMILAR_PERCENT = 80
 SHINGLE = 5
 #: Of the 192 bits that pairs are tested on, so many may differ. At a similarity of 0.8 some 19 do;
 #: 60 is ten standard deviations above that.
 BITS, MOST_BITS = 192, 60
+#: Bits of a set in which the members of crowded keys are compared, 64 to a column.
+MASK_BITS = 1024
 _SEED = 61_409
 
 
@@ -102,15 +106,26 @@ def _sketches(docs: DataFrame, size: int) -> DataFrame:
     return map_slices(docs, work, f"id bigint, n bigint, set_a bigint, set_b bigint, bands array<bigint>, {bits}")
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(id, shingles) of the documents with these ids, made anew from the texts."""
+def _sets_of(docs: DataFrame, ids: DataFrame, size: int, masks: int = 0) -> DataFrame:
+    """(id, shingles) of the documents with these ids, made anew from the texts.
+
+    With so many columns ``mask<i>`` of 64 bits: a bit is set if a shingle has its number as a hash.
+    """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets, counts = _sets(batch.column("text").to_pylist(), size)
         offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
-        return pa.record_batch([batch.column("id"), pa.ListArray.from_arrays(offsets, pa.array(sets.view(np.int64)))], ["id", "shingles"])
+        flags = np.zeros((len(counts), 64 * masks), bool)
+        if masks:
+            flags[np.repeat(np.arange(len(counts)), counts), (mix(sets) % np.uint64(64 * masks)).astype(np.int64)] = True
+        bits = np.packbits(flags, axis=1).view(np.int64) if masks else flags
+        columns = [pa.array(np.ascontiguousarray(bits[:, i])) for i in range(masks)]
+        sets = pa.ListArray.from_arrays(offsets, pa.array(sets.view(np.int64)))
+        return pa.record_batch([batch.column("id"), sets, *columns], ["id", "shingles", *names])
 
-    return map_slices(restrict(docs, ids, "id", "left_semi"), work, "id bigint, shingles array<bigint>")
+    names = [f"mask{i}" for i in range(masks)]
+    schema = ", ".join(["id bigint, shingles array<bigint>", *(f"{c} bigint" for c in names)])
+    return map_slices(restrict(docs, ids, "id", "left_semi"), work, schema)
 
 
 def _confirm(docs: DataFrame, size: int, percent: int):
@@ -121,18 +136,29 @@ def _confirm(docs: DataFrame, size: int, percent: int):
         sets = materialize(_sets_of(docs, ids, size), "sets")
         both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
         common = F.size(F.array_intersect("x", "y"))
-        return both.filter(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b").distinct()
+        links = both.filter(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b").distinct()
+        links = materialize(links, "similar", release=True)
+        discard(sets)
+        return links
 
     return confirm
 
 
 def _alone(docs: DataFrame, size: int):
-    """(id, own): how many shingles of a document none of the others given has."""
+    """(id, own, masks): how many shingles of a document none of the others given has, and the bits of its set.
+
+    Ids of several rows are left out: one of their sets has not what another one has.
+    """
 
     def alone(ids: DataFrame) -> DataFrame:
-        parts = _sets_of(docs, ids, size).select("id", F.explode("shingles").alias("part"))
+        sets = materialize(_sets_of(docs, ids, size, MASK_BITS // 64), "sets")
+        parts = sets.select("id", F.explode("shingles").alias("part"))
         single = parts.groupBy("part").agg(F.min("id").alias("id"), F.count("*").alias("n")).filter("n = 1")
-        return single.groupBy("id").agg(F.count("*").alias("own"))
+        own = single.groupBy("id").agg(F.count("*").alias("own"))
+        once = sets.groupBy("id").count().filter("count = 1").join(own, "id", "left").select("id", F.coalesce("own", F.lit(0)).alias("own"))
+        found = materialize(once.join(sets.drop("shingles"), "id"), "alone", release=True)
+        discard(sets)
+        return found
 
     return alone
 
@@ -146,12 +172,15 @@ def components(df: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, p
     facts = [c for c in sketches.columns if c not in ("id", "set_a", "set_b")]
     classes = sketches.filter("id is not null and n > 0").groupBy("set_a", "set_b").agg(F.min(F.struct("id", *facts)).alias("x"))
     classes = materialize(classes.select("set_a", "set_b", "x.*"), "classes", release=True)
+    # Only the classes are compared: the bands of the other rows need not lie on disk any longer.
+    bands, sketches = sketches, materialize(sketches.select("id", "n", "set_a", "set_b"), "sketches")
+    discard(bands)
     # A smaller set than this cannot be similar to another one without being equal to it.
     least = ceil(percent / (100 - percent)) if percent < 100 else 1 << 62
     near = Near("n", percent, tuple(f"bits{i}" for i in range(BITS // 64)), MOST_BITS)
     named = docs.filter("id is not null")
     facts = classes.filter(F.col("n") >= least).drop("set_a", "set_b")
-    roots = link(facts, F.col("bands"), near, _confirm(named, size, percent), _alone(named, size))
+    roots = link(facts, [F.slice("bands", i + 1, BANDS_AT_A_TIME) for i in range(0, BANDS, BANDS_AT_A_TIME)], near, _confirm(named, size, percent), _alone(named, size))
     of_class = materialize(classes.join(roots, "id", "left").select("set_a", "set_b", F.coalesce("root", "id").alias("root")), "of_class", release=True)
     discard(classes)
     rows = sketches.select("id", "n", "set_a", "set_b").join(of_class, ["set_a", "set_b"], "left")

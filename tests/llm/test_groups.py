@@ -52,6 +52,50 @@ def test_a_crowded_key_loses_no_link(spark):
     assert {r.id: r.root for r in roots.collect()} == {i: 0 for i in range(1, 40)}
 
 
+def crowd(n):
+    """Texts of one text with some of its words changed, to words that others have as well: hardly any are similar."""
+    draw = random.Random(n)
+    return [(i, " ".join(f"w{w}" if draw.random() > 0.12 else f"x{w}" for w in range(60))) for i in range(n)]
+
+
+def test_a_crowd_of_sets_is_not_confirmed_pair_by_pair(spark, monkeypatch):
+    rows, asked = crowd(300), []
+    confirm = minhash_oph._confirm
+
+    def counted(*args):
+        return lambda pairs: asked.append(pairs.count()) or confirm(*args)(pairs)
+
+    monkeypatch.setattr(minhash_oph, "_confirm", counted)
+    found = minhash_oph.components(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", size=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows, 2)
+    assert asked[-1] < 300 * 299 / 20
+
+
+def test_an_id_of_two_rows_has_the_links_of_both_in_a_crowd(spark):
+    """What one row of an id has alone says nothing of the other row."""
+    text = crowd(60)
+    facts = spark.createDataFrame(text, "id long, text string")
+    two = facts.union(spark.createDataFrame([(7, " ".join(f"y{i}" for i in range(200)))], facts.schema))
+    known = minhash_oph._alone(two, 2)(facts.select("id"))
+    assert {r.id for r in known.collect()} == {i for i, _ in text} - {7}
+
+
+def test_keys_are_dealt_out_once(spark, monkeypatch):
+    """One shuffle of a few keys of each thing, at any size."""
+    plans, write = [], linking.materialize
+
+    def noted(df, name="cut", release=False):
+        if name == "members":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name, release)
+
+    monkeypatch.setattr(linking, "materialize", noted)
+    facts = spark.range(50).selectExpr("id", "100L as n", "0L as bits", "array(id % 7, 100 + id) as keys")
+    near = linking.Near("n", 80, ("bits",), 2)
+    linking.link(facts, [F.slice("keys", 1, 1), F.slice("keys", 2, 1)], near, lambda pairs: pairs)
+    assert len(plans) == 2 and all("REPARTITION_BY_COL" in p and "BroadcastExchange" not in p and "ENSURE_REQUIREMENTS" not in p for p in plans)
+
+
 # --- near-duplicates -------------------------------------------------------------------------
 
 
