@@ -190,7 +190,7 @@ def train(docs: DataFrame, text_col: str, lang_col: str, id_col: str, sample_per
         at = np.flatnonzero(seen)
         return pa.record_batch([pa.array(at, pa.int64()), pa.array(seen[at], pa.int64())], ["place", "n"])
 
-    seen = map_slices(chosen, count, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
+    seen = map_slices(chosen, count, "place bigint, n bigint", chars=PREDICT_CHARS).groupBy("place").agg(F.sum("n").alias("n"))
     found = seen.toArrow()
     width = (1 << BUCKET_BITS) + len(SCRIPT_NAMES)
     table = np.zeros((len(langs), width))

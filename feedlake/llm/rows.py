@@ -22,12 +22,12 @@ def pick(df: DataFrame, **names: str) -> DataFrame:
     return df.select([column(df, theirs).alias(ours) for ours, theirs in names.items()])
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of some 4 MB of text, so that long documents do not add up in memory."""
+def slices(batch: pa.RecordBatch, text: str, chars: int = 0) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of some 4 MB of text, or of ``chars``, so that long documents do not add up in memory."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
     start, held = 0, 0
     for i, n in enumerate(sizes):
-        if held and held + n > SLICE_CHARS:
+        if held and held + n > (chars or SLICE_CHARS):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += n + 64
@@ -36,13 +36,13 @@ def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
 
 
 def map_slices(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text"
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text", chars: int = 0
 ) -> DataFrame:
     """``work`` over bounded slices of every partition; no shuffle."""
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, chars):
                 yield work(part)
 
     return df.mapInArrow(run, schema)

@@ -44,3 +44,14 @@ def test_bits_of_short_and_very_long_lines(spark):
     for pos, line in enumerate(text.split("\n")):
         own = [hashes[w] for w in line.split()]
         assert found[pos] % (1 << 64) == sum(1 << k for k in range(64) if 2 * sum((h >> k) & 1 for h in own) > len(own))
+
+
+def test_slices_of_a_given_size():
+    """Training reads texts in pieces as small as those of a prediction."""
+    import pyarrow as pa
+
+    from feedlake.llm.rows import slices
+
+    batch = pa.record_batch([pa.array(["a" * 1000] * 10)], ["text"])
+    assert [part.num_rows for part in slices(batch, "text", 2200)] == [2] * 5
+    assert [part.num_rows for part in slices(batch, "text")] == [10]
