@@ -32,7 +32,7 @@ DISTANCE = 3
 SIMILAR = 0.9
 #: Keys of 32 bits: 20 per class, and classes that are not alike hardly ever meet.
 AGREE = 3
-#: Choices of blocks whose keys are made, counted and discarded at a time.
+#: Choices of blocks whose keys are dealt out at a time.
 KEYS_AT_A_TIME = 4
 #: Characters, and so words, of a line up to which four counts of 14 bits fit into one long.
 FEW_CHARS = 16_000
@@ -112,7 +112,10 @@ def _confirm(docs: DataFrame, classes: DataFrame, similar: float):
         both = pairs.join(lines.toDF("a", "x"), "a").join(lines.toDF("b", "y"), "b")
         longest = F.greatest(F.length("x"), F.length("y"))
         most = F.floor((1 - similar) * longest + 1e-9).cast("int")
-        return both.withColumn("most", most).filter("levenshtein(x, y, most) >= 0").select("a", "b")
+        links = materialize(both.withColumn("most", most).filter("levenshtein(x, y, most) >= 0").select("a", "b"), "similar", release=True)
+        discard(places)
+        discard(lines)
+        return links
 
     return confirm
 
@@ -155,5 +158,6 @@ def dedup(df: DataFrame, id_col: str, text_col: str, similar: float = SIMILAR, a
     removed = F.coalesce(F.size(lost), F.lit(0))
     new = F.when(removed > 0, left).otherwise(text).alias(text_col)
     n_lines = free_name(df.columns, "_n_lines")
-    counts = [F.coalesce(F.size(all_lines), F.lit(0)).alias(n_lines), removed.alias(free_name([*df.columns, n_lines], "_n_removed"))]
+    ends = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
+    counts = [F.coalesce(ends + 1, F.lit(0)).alias(n_lines), removed.alias(free_name([*df.columns, n_lines], "_n_removed"))]
     return marked.select(*[new if c == text_col else column(df, c) for c in df.columns], *counts)
