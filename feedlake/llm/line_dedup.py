@@ -128,7 +128,7 @@ def repeated_lines(df: DataFrame, id_col: str, text_col: str, similar: float = S
     classes = lines.groupBy("k1", "k2").agg(first, F.count("*").alias("times"), F.min("n").alias("n"), F.min("simhash").alias("simhash"))
     classes = materialize(classes, "classes", release=True)
     near = Near("n", round(100 * similar), ("simhash",), DISTANCE)
-    roots = link(classes.select(F.col("k1").alias("id"), "n", "simhash"), block_keys(F.col("simhash"), agree), near, _confirm(docs, classes, similar))
+    roots = link(classes.select(F.col("k1").alias("id"), "n", "simhash"), block_keys(F.col("simhash"), agree), near, _confirm(docs, classes, similar), sift=True)
     rooted = materialize(classes.select("k1", "k2", "first", "times").join(roots.toDF("k1", "root"), "k1", "left").withColumn("root", F.coalesce("root", "k1")), "rooted")
     groups = rooted.groupBy("root").agg(F.min("first").alias("stays"), F.sum("times").alias("times")).filter("times > 1").drop("times")
     groups = materialize(groups, "groups")

@@ -3,7 +3,8 @@
 Only DataFrame operations. Work grows with the members of a key, not with their square:
 
 1. Pairs: a key with two members needs no join, an aggregate holds all that is to be known of them.
-2. Star: in a key with more members, each is compared with the smallest one.
+2. Star: in a key with more members, each is compared with the smallest one. Where the cheap test of a pair costs a
+   few instructions, members that pass it with no other member of the key can be dropped before (``sift``).
 3. Keys whose members now all belong to one group are done.
 4. In the others a second star is drawn around a member chosen by a hash.
 5. What is still in different groups under one key is compared pair by pair, as far as a cheap
@@ -18,6 +19,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedlake.session import discard, materialize
@@ -89,6 +91,7 @@ def link(
     near: Near,
     confirm: Callable[[DataFrame], DataFrame],
     alone: Callable[[DataFrame], DataFrame] | None = None,
+    sift: bool = False,
 ) -> DataFrame:
     """(id, root) of all ids that are linked to a smaller one, directly or through others.
 
@@ -97,6 +100,8 @@ def link(
     ``near`` rules pairs out cheaply, ``confirm`` keeps the true ones of pairs (a, b). ``alone``,
     for sets of ``near.size`` parts: of given ids (id, own, and any columns of bits): the parts that none of
     the others has, and a bit for each value of a hash that a part of the set has. Ids may be missing.
+    ``sift``: members of a key that pass the cheap test with no other one are dropped before the stars. It
+    pays where the test is cheap and most members of a key meet by chance.
     """
     found = []
     for some in keys if isinstance(keys, list) else [keys]:
@@ -107,6 +112,9 @@ def link(
         found.append(materialize(spread.join(met.select("key", "first", "last", "times").hint("merge"), "key"), "members", release=True))
     members = reduce(DataFrame.unionByName, found)
     shared = materialize(members.filter("times > 2").select("key", "id", *near.columns, "first"), "shared")
+    if sift:
+        last, shared = shared, materialize(_company(shared, near), "shared")
+        discard(last)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         pairs = materialize(pairs.distinct(), "pairs")
@@ -146,6 +154,13 @@ def link(
     return roots
 
 
+def _company(shared: DataFrame, near: Near) -> DataFrame:
+    """The members that pass the test with another member of their key, and the smallest of these. No other can have a link there."""
+    test = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") != F.col("y.id")) & near.of("x", "y")
+    kept = shared.alias("x").join(shared.alias("y").hint("merge"), test, "left_semi").select("key", "id", *near.columns)
+    return kept.withColumn("first", F.min("id").over(W.partitionBy("key")))
+
+
 def _with_room(shared: DataFrame, own: DataFrame, near: Near, masks: list[str]) -> DataFrame:
     """The members with what bounds the parts that two of them have in common: no more than ``room`` of one side, and
     no more than the bits that both have and the ``hidden`` parts of one side, which have no bit to themselves.
