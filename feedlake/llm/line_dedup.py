@@ -36,6 +36,8 @@ AGREE = 3
 KEYS_AT_A_TIME = 4
 #: Characters, and so words, of a line up to which four counts of 14 bits fit into one long.
 FEW_CHARS = 16_000
+#: Memory that the place of a line takes in a broadcast.
+PLACE_BYTES = 64
 
 
 def normalised(line: Column) -> Column:
@@ -106,9 +108,11 @@ def _confirm(docs: DataFrame, classes: DataFrame, similar: float):
     def confirm(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("k1")).union(pairs.select("b"))
         places = materialize(restrict(classes.select("k1", "first.row", "first.pos"), ids, "k1", "left_semi"), "places")
-        texts = restrict(docs.select("row", "text"), places, "row", "left_semi").dropDuplicates(["row"])
+        # Where the places are few, lines are cut out where their texts lie, and no text is shuffled.
+        few = places.count() * PLACE_BYTES <= MAX_BROADCAST_BYTES
+        texts = docs.select("row", "text").join(F.broadcast(places) if few else places, "row")
         line = F.element_at(F.split("text", "\n", -1), F.col("pos") + 1)
-        lines = materialize(places.join(texts, "row").select("k1", normalised(line).alias("line")), "lines")
+        lines = materialize(texts.select("k1", normalised(line).alias("line")).distinct(), "lines")
         both = pairs.join(lines.toDF("a", "x"), "a").join(lines.toDF("b", "y"), "b")
         longest = F.greatest(F.length("x"), F.length("y"))
         most = F.floor((1 - similar) * longest + 1e-9).cast("int")
@@ -152,9 +156,10 @@ def dedup(df: DataFrame, id_col: str, text_col: str, similar: float = SIMILAR, a
     size = gone.agg(F.coalesce(F.sum(4 * F.size(lost) + 48), F.lit(0))).first()[0]
     marked = _rows(df, id_col, text_col, row).join(F.broadcast(gone) if size <= MAX_BROADCAST_BYTES else gone, row, "left")
     text = column(df, text_col)
-    all_lines = F.split(text, "\n", -1)
-    numbers = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), lost)
-    left = F.array_join(F.transform(numbers, lambda i: F.get(all_lines, i)), "\n")
+    # The lines are bound once: named at each place, they would be split again for each line.
+    numbers = lambda lines: F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), lost)
+    kept = lambda lines: F.array_join(F.transform(numbers(lines), lambda i: F.get(lines, i)), "\n")
+    left = F.transform(F.array(F.split(text, "\n", -1)), kept)[0]
     removed = F.coalesce(F.size(lost), F.lit(0))
     new = F.when(removed > 0, left).otherwise(text).alias(text_col)
     n_lines = free_name(df.columns, "_n_lines")

@@ -41,3 +41,25 @@ def test_sifted_links_are_all_links(spark):
     keys = F.array(F.lit(7).cast("bigint"))
     found = [sorted(map(tuple, link(facts, keys, near, lambda pairs: pairs, sift=sift).collect())) for sift in (False, True)]
     assert found[0] == found[1] == [(3, 2), (5, 4), (6, 4), (7, 2)]
+
+
+def test_texts_of_pairs_are_not_shuffled(spark, monkeypatch):
+    words = " ".join(f"word{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, words), (2, f"{words}\nother"), (3, f"first\n{words}.x"), (3, f"first\n{words}.x")], "id bigint, text string")
+    seen = _carried(monkeypatch, line_dedup)
+    pairs = spark.createDataFrame([(1, 2)], "a bigint, b bigint")
+    rows = line_dedup._rows(docs, "id", "text")
+    place = lambda k, i, pos: (k, rows.filter(f"id = {i}").first()["row"], pos)
+    classes = spark.createDataFrame([place(1, 1, 0), place(2, 3, 1)], "k1 bigint, row bigint, pos int").select("k1", F.struct("row", "pos").alias("first"))
+    assert [tuple(r) for r in line_dedup._confirm(rows, classes, 0.9)(pairs).collect()] == [(1, 2)]
+    (plan,) = [plan for name, _, plan in seen if name == "lines"]
+    assert "first(text" not in plan and "strategy=broadcast" in plan
+    assert [n for name, n, _ in seen if name == "lines"] == [2]
+
+
+def test_a_text_is_split_once_for_all_its_lines(spark):
+    df = spark.createDataFrame([(1, "a b c\nsame line here\n\nd"), (2, "same line here\ne"), (3, None), (4, "")], "id bigint, text string")
+    found = line_dedup.dedup(df, "id", "text")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(text") == 1
+    assert {r.id: r.text for r in found.collect()} == {1: "a b c\nsame line here\n\nd", 2: "e", 3: None, 4: ""}
